@@ -11,6 +11,7 @@ the broadcast side is bounded by the partition count, not by the data.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
@@ -21,6 +22,14 @@ from pyspark.sql import types as T
 
 PID, LOCAL = "_ord_pid", "_ord_local"
 
+# Ship this module's helpers to Python workers by value, so executors need
+# only pandas/numpy, not this package on their path.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle
+    pass
+
 
 def _boundaries(pdf: pd.DataFrame, keys: Sequence[str], carry) -> np.ndarray:
     """True where a row starts a new key run (first row compared to ``carry``)."""
