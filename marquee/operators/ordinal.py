@@ -1,96 +1,54 @@
 """Skew-safe ``row_number() OVER (PARTITION BY keys ORDER BY order)``.
 
 A window partitioned by ``keys`` sends each key group to one task, so a key
-holding a third of the rows becomes one straggler task.  Here the rows are
-range-partitioned on ``(keys, order)``; a hot key is then spread over many
-consecutive partitions.  Each partition numbers its rows locally (rows are
-sorted), and only a partition's *first* key can continue from earlier
-partitions.  A summary with one row per partition gives that carry-over, so
-the broadcast side is bounded by the partition count, not by the data.
+holding a third of the rows becomes one straggler task.  Here:
+
+1. rows are range-partitioned on ``(keys, order)`` -- a hot key is spread
+   over many consecutive partitions, each of bounded size;
+2. rows are numbered within (partition, key) by a window whose groups are
+   therefore bounded too;
+3. the numbered rows are checkpointed (reliable, under the session's
+   checkpoint directory) so both uses below see the same partitions;
+4. a summary with one row per partition (first key, last key, rows of the
+   last key) gives each partition's carry-over for its first key -- only the
+   first key of a partition can continue from earlier partitions;
+5. the summary, bounded by the partition count, is broadcast and added.
 """
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-PID, LOCAL = "_ord_pid", "_ord_local"
-
-# Ship this module's helpers to Python workers by value, so executors need
-# only pandas/numpy, not this package on their path.
-try:
-    from pyspark import cloudpickle as _cp
-    _cp.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle
-    pass
-
-
-def _boundaries(pdf: pd.DataFrame, keys: Sequence[str], carry) -> np.ndarray:
-    """True where a row starts a new key run (first row compared to ``carry``)."""
-    n = len(pdf)
-    new = np.zeros(n, dtype=bool)
-    for k in keys:
-        cur = pdf[k]
-        prev = cur.shift(1)
-        if carry is not None:
-            prev.iloc[0] = carry[k]
-        same = (cur == prev) | (cur.isna() & prev.isna())
-        new |= ~same.to_numpy(dtype=bool)
-    if carry is None:
-        new[0] = True
-    return new
 
+from marquee.session import ensure_checkpoint_dir
 
-def _local_rank_fn(keys: Sequence[str]):
-    keys = list(keys)
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        carry, carry_n = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            new = _boundaries(pdf, keys, carry)
-            idx = np.arange(len(pdf), dtype=np.int64)
-            start = np.maximum.accumulate(np.where(new, idx, -1))
-            local = idx - start + 1
-            # rows before the first boundary continue the previous batch's run
-            cont = start < 0
-            local = np.where(cont, carry_n + idx + 1, local)
-            last = len(pdf) - 1
-            carry = {k: pdf[k].iloc[last] for k in keys}
-            carry_n = int(local[last])
-            yield pdf.assign(**{PID: np.int32(pid), LOCAL: local.astype(np.int64)})
-
-    return run
+PID, LOCAL = "_ord_pid", "_ord_local"
 
 
 def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    name: str = "ordinal", num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 1-based position of the row within its ``keys`` group."""
+    """Add ``name`` = 1-based position of the row within its ``keys`` group.
+
+    Ties in ``order`` are numbered in an arbitrary but consistent order, as
+    with SQL ``row_number``.  Runs one eager job (the checkpoint).
+    """
     spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys, order = list(keys), list(order)
-    ranged = df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
-    schema = T.StructType(ranged.schema.fields + [
-        T.StructField(PID, T.IntegerType(), False),
-        T.StructField(LOCAL, T.LongType(), False)])
-    ranked = ranged.mapInPandas(_local_rank_fn(keys), schema)
+    ranged = df.repartitionByRange(n, *keys, *order).withColumn(PID, F.spark_partition_id())
+    local = ranged.withColumn(
+        LOCAL, F.row_number().over(Window.partitionBy(PID, *keys).orderBy(*order)).cast("bigint"))
+    local = local.checkpoint(eager=True)
 
     key = F.struct(*keys)
-    summary = ranked.groupBy(PID).agg(
+    summary = local.groupBy(PID).agg(
         F.min(key).alias("_first"),
         F.max(key).alias("_last"),
         F.max_by(F.col(LOCAL), F.struct(*keys, LOCAL)).alias("_tail"))
-    by_pid = Window.orderBy(PID)  # one row per partition
+    by_pid = Window.orderBy(PID)  # one row per partition: bounded
     carried = (summary
                .withColumn("_cum", F.sum("_tail").over(
                    Window.partitionBy("_last").orderBy(PID)
@@ -99,7 +57,7 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    F.lag("_last").over(by_pid) == F.col("_first"),
                    F.lag("_cum").over(by_pid)).otherwise(F.lit(0)))
                .select(PID, "_first", "_offset"))
-    out = (ranked.join(F.broadcast(carried), PID)
+    out = (local.join(F.broadcast(carried), PID)
            .withColumn(name, F.col(LOCAL) + F.when(key == F.col("_first"), F.col("_offset"))
                        .otherwise(F.lit(0))))
     return out.drop(PID, LOCAL, "_first", "_offset")

@@ -7,6 +7,7 @@ Parquet tables, ``movies`` first, so the dimensions read the written fact
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,7 @@ FIXED_AS_OF = "2026-01-01"
 
 @dataclass
 class Models:
-    bronze: dict[str, DataFrame]
+    bronze: Mapping[str, DataFrame]
     params: Params = field(default_factory=Params)
     _cache: dict = field(default_factory=dict)
 

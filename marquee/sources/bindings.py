@@ -8,6 +8,8 @@ NULLs exactly as the bronze loader does.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,5 +150,26 @@ def bronze(spark: SparkSession, sf_dir: str, name: str, na_tokens=None) -> DataF
     return normalize_na(raw_bronze(spark, sf_dir, name), na_tokens)
 
 
-def bronze_tables(spark: SparkSession, sf_dir: str, na_tokens=None) -> dict[str, DataFrame]:
-    return {n: bronze(spark, sf_dir, n, na_tokens) for n in BOUND_TABLES}
+class LazyTables(Mapping):
+    """Table name -> DataFrame, each built on first access (some bindings run
+    an eager job, which unrelated queries should not pay for)."""
+
+    def __init__(self, make, names):
+        self._make, self._names, self._built = make, tuple(names), {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        if name not in self._built:
+            self._built[name] = self._make(name)
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self) -> int:
+        return len(self._names)
+
+
+def bronze_tables(spark: SparkSession, sf_dir: str, na_tokens=None) -> Mapping[str, DataFrame]:
+    return LazyTables(lambda n: bronze(spark, sf_dir, n, na_tokens), BOUND_TABLES)
