@@ -305,7 +305,7 @@ def agg_count_star(spark, sf_dir):
 # ---------------------------------------------------------------- questions (Q1-Q12)
 @query
 def q_top_rated(spark, sf_dir):
-    return questions.top_rated(_m(spark, sf_dir).movies)
+    return questions.top_rated(_m(spark, sf_dir).movies_core)
 
 
 @query
@@ -325,7 +325,7 @@ def q_actors_with_director(spark, sf_dir):
 
 @query
 def q_best_of_decade(spark, sf_dir):
-    return questions.best_of_decade(_m(spark, sf_dir).movies, DECADE)
+    return questions.best_of_decade(_m(spark, sf_dir).movies_core, DECADE)
 
 
 @query
@@ -340,7 +340,7 @@ def q_prolific_directors(spark, sf_dir):
 
 @query
 def q_genre_top(spark, sf_dir):
-    return questions.genre_top(_m(spark, sf_dir).movies, GENRE)
+    return questions.genre_top(_m(spark, sf_dir).movies_core, GENRE)
 
 
 @query
@@ -350,7 +350,7 @@ def q_movies_by_actor_eq(spark, sf_dir):
 
 @query
 def q_rating_and_decade(spark, sf_dir):
-    return questions.rating_and_decade(_m(spark, sf_dir).movies, HIGH_RATING, HIGH_DECADE)
+    return questions.rating_and_decade(_m(spark, sf_dir).movies_core, HIGH_RATING, HIGH_DECADE)
 
 
 @query

@@ -59,7 +59,10 @@ def career_stats(rows: DataFrame, lead: bool = False, gender: bool = False) -> D
     if lead:
         aggs.append(F.sum("lead_credits").cast("bigint").alias("lead_role_count"))
     if gender:
-        aggs.append(F.array_distinct(F.flatten(F.collect_list("genders"))).alias("genders"))
+        # distinct gender arrays per person: bounded by the few combinations,
+        # not by the number of movies of a prolific person
+        aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_set("genders"))))
+                    .alias("genders"))
     s = rows.groupBy("person_id").agg(*aggs)
     s = (s.withColumn("avg_movie_rating", exact_mean(F.col("_wsum"), F.col("_credits")))
           .withColumn("career_span_years",

@@ -48,6 +48,12 @@ def actors_agg(stg_actor: DataFrame, k: int = TOP_ACTORS) -> DataFrame:
         k, "actors")
 
 
+def movies_core(stg_title_basics: DataFrame, stg_ratings: DataFrame) -> DataFrame:
+    """The fact table's own columns (no people arrays): titles ⋈ ratings + band."""
+    return (stg_title_basics.join(stg_ratings, "movie_id")
+            .withColumn("rating_category", band("average_rating", *RATING_CATEGORY)))
+
+
 def movies(stg_title_basics: DataFrame, stg_ratings: DataFrame, stg_crew: DataFrame,
            stg_actor: DataFrame, k: int = TOP_ACTORS) -> DataFrame:
     """One row per rated movie with ordered ``directors`` and top-``k`` ``actors``."""

@@ -65,6 +65,12 @@ class Models:
         return self._get("stg_actor", lambda: staging.stg_actor(
             self.bronze["title_principals"], self.stg_person))
 
+    @property
+    def movies_core(self) -> DataFrame:
+        """Fact columns without the people arrays (for questions that need no people)."""
+        return self._get("movies_core", lambda: marts.movies_core(
+            self.stg_title_basics, self.stg_ratings))
+
     @property
     def movies(self) -> DataFrame:
         return self._get("movies", lambda: marts.movies(
