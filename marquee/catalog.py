@@ -504,3 +504,29 @@ def usage_token_estimate(spark, sf_dir):
 @query
 def usage_display(spark, sf_dir):
     return usage.display_totals(_records(spark, sf_dir))
+
+
+@query
+def usage_history_stream(spark, sf_dir):
+    """Usage records landed as files in two drops, appended by the stream."""
+    from marquee.streaming import stream_history
+    records = _records(spark, sf_dir)
+    landing = scratch_path(spark, "usage-landing")
+    history = scratch_path(spark, "usage-history")
+    ckpt = scratch_path(spark, "usage-history-ckpt")
+    records.filter(F.col("turn") % 2 == 0).write.mode("append").parquet(landing)
+    stream_history(spark, landing, history, ckpt)
+    records.filter(F.col("turn") % 2 == 1).write.mode("append").parquet(landing)
+    stream_history(spark, landing, history, ckpt)   # resumes: only the new drop
+    return spark.read.parquet(history)
+
+
+@query
+def usage_model_counts_stream(spark, sf_dir):
+    """Per-model counter kept as streaming state over the landed records."""
+    from marquee.streaming import stream_model_counts
+    landing = scratch_path(spark, "usage-landing")
+    counts = scratch_path(spark, "usage-counts")
+    _records(spark, sf_dir).write.mode("append").parquet(landing)
+    stream_model_counts(spark, landing, counts)
+    return spark.read.parquet(counts)
