@@ -22,11 +22,22 @@ def trim_ws(x) -> Column:
     return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
 
 
-def null_tokens(x, tokens: Iterable[str]) -> Column:
-    """Map any of ``tokens`` to NULL, keep other values."""
+def _sql_string(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def null_tokens(x: str, tokens: Iterable[str]) -> Column:
+    """Map any of ``tokens`` to NULL in string column ``x``, keep other values.
+
+    Written as one SQL expression so that a long token list costs one
+    round trip to the JVM per column instead of one per literal.
+    """
     tokens = list(tokens)
-    c = _c(x)
-    return F.when(c.isin(tokens), F.lit(None).cast("string")).otherwise(c) if tokens else c
+    if not tokens:
+        return F.col(x)
+    name = "`" + x.replace("`", "``") + "`"
+    in_list = ", ".join(_sql_string(t) for t in tokens)
+    return F.expr(f"CASE WHEN {name} IN ({in_list}) THEN CAST(NULL AS STRING) ELSE {name} END")
 
 
 def decode_gender(category) -> Column:

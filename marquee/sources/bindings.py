@@ -20,8 +20,19 @@ BOUND_TABLES = ("title_basics", "title_ratings", "name_basics", "title_crew",
                 "title_principals")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one driver table; its schema is inferred once per path and reused
+    (inference runs a small job per read otherwise)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _padded_id(prefix: str, x) -> F.Column:
