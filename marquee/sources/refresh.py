@@ -86,7 +86,8 @@ def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir:
 
 def exit_status(report: DataFrame) -> int:
     """0 all ok, 1 some failed, 2 all failed (the loader's exit codes)."""
-    s = report.agg({"ok": "min"}).first()[0], report.agg({"ok": "max"}).first()[0]
-    if s[0]:
+    from pyspark.sql import functions as F
+    all_ok, any_ok = report.agg(F.bool_and("ok"), F.bool_or("ok")).first()
+    if all_ok:
         return 0
-    return 2 if not s[1] else 1
+    return 1 if any_ok else 2

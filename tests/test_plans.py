@@ -5,10 +5,9 @@ import os
 from conftest import SF001
 from pyspark.sql import functions as F
 
-from marquee.operators.unnest import any_match, unnest_fields
+from marquee.operators.unnest import unnest_fields
 from marquee.plans import marts, questions
 from marquee.plans.pipeline import models_from_fixtures
-from marquee.sources import sinks
 
 
 def _plan(df):
