@@ -25,6 +25,24 @@ DEFAULTS = {
 }
 
 
+def cluster_conf(total_cores: int, shuffle_bytes_per_core: int = 0) -> dict[str, str]:
+    """Settings for a large cluster (e.g. 100 TB on 1000 executors).
+
+    Shuffle partitions start at ~3x the cores (AQE coalesces small ones), so
+    each reducer holds a few hundred MB; skewed sort-merge partitions are
+    split at 5x the median or 512 MB.
+    """
+    parts = max(200, 3 * total_cores)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def build_session(master: str | None = None, app_name: str = "marquee",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:

@@ -52,6 +52,17 @@ def is_fresh(spark: SparkSession, source: str, target: str) -> bool:
     return t is not None and s is not None and t >= s
 
 
+def skip_if_fresh(spark: SparkSession, source: str, target: str, force: bool = False) -> bool:
+    """True when the load of ``source`` into ``target`` can be skipped."""
+    return not force and is_fresh(spark, source, target)
+
+
+def table_path(root: str, dotted_name: str) -> str:
+    """Target path of a source file's table: ``title.basics`` -> ``<root>/title_basics``."""
+    from marquee.schemas import table_id
+    return f"{root.rstrip('/')}/{table_id(dotted_name)}"
+
+
 def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir: str,
                    tables: Sequence[str] | None = None, mode: str = "truncate",
                    force: bool = False, fail_fast: bool = False,
@@ -67,9 +78,9 @@ def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir:
         raise ValueError(f"unknown tables: {unknown}")
     rows = []
     for name in names:
-        target = f"{target_dir.rstrip('/')}/{name}"
+        target = table_path(target_dir, name)
         try:
-            skipped = not force and is_fresh(spark, sources[name], target)
+            skipped = skip_if_fresh(spark, sources[name], target, force)
             if not skipped:
                 df = read_tsv(spark, sources[name], name, na_tokens,
                               min_partitions=spark.sparkContext.defaultParallelism)
