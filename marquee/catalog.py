@@ -445,7 +445,7 @@ def bronze_refresh_report(spark, sf_dir):
         sources[name] = tsv.write_tsv(bindings.raw_bronze(spark, sf_dir, name),
                                       f"{landing}/{name}.tsv.gz")
     from marquee.sources.refresh import refresh_bronze
-    report = refresh_bronze(spark, sources, scratch_path(spark, "bronze"))
+    report = refresh_bronze(spark, sources, scratch_path(spark, "bronze"), parallel_tables=3)
     return report.select("table_name", "ok", "rows")
 
 

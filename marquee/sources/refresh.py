@@ -31,24 +31,30 @@ def _fs_path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _newest_mtime(spark: SparkSession, path: str) -> int | None:
+def _source_mtime(spark: SparkSession, path: str) -> int | None:
+    """Newest modification time of a source file, glob or directory (one level)."""
     fs, p = _fs_path(spark, path)
-    if not fs.exists(p):
+    statuses = fs.globStatus(p)
+    if not statuses:
         return None
-    st = fs.getFileStatus(p)
-    if not st.isDirectory():
-        return st.getModificationTime()
-    newest = st.getModificationTime()
-    it = fs.listFiles(p, True)
-    while it.hasNext():
-        newest = max(newest, it.next().getModificationTime())
+    newest = None
+    for st in statuses:
+        items = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+        for it in items:
+            newest = it.getModificationTime() if newest is None else max(newest, it.getModificationTime())
     return newest
 
 
+def _target_mtime(spark: SparkSession, path: str) -> int | None:
+    """Completion time of the last successful write: the commit marker, O(1)."""
+    fs, p = _fs_path(spark, path.rstrip("/") + "/_SUCCESS")
+    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
+
+
 def is_fresh(spark: SparkSession, source: str, target: str) -> bool:
-    """True when ``target`` exists and is at least as new as ``source``."""
-    t = _newest_mtime(spark, target)
-    s = _newest_mtime(spark, source)
+    """True when ``target`` was written successfully after ``source`` last changed."""
+    t = _target_mtime(spark, target)
+    s = _source_mtime(spark, source)
     return t is not None and s is not None and t >= s
 
 
@@ -66,18 +72,21 @@ def table_path(root: str, dotted_name: str) -> str:
 def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir: str,
                    tables: Sequence[str] | None = None, mode: str = "truncate",
                    force: bool = False, fail_fast: bool = False,
-                   na_tokens=None, compression: str = "snappy") -> DataFrame:
+                   na_tokens=None, compression: str = "snappy",
+                   parallel_tables: int = 1) -> DataFrame:
     """Load ``sources`` (table -> TSV path) into ``target_dir/<table>``.
 
-    Returns a report DataFrame (table_name, ok, skipped, rows, error); the row
-    count is read back from the written table's Parquet metadata.
+    Each table is an independent Spark job; ``parallel_tables > 1`` submits
+    several at once from driver threads so small tables share the cluster.
+    Returns a report DataFrame (table_name, ok, skipped, rows, error); the
+    row count comes from the written table's Parquet footers.
     """
     names = list(tables) if tables else list(sources)
     unknown = [t for t in names if t not in sources]
     if unknown:
         raise ValueError(f"unknown tables: {unknown}")
-    rows = []
-    for name in names:
+
+    def load(name: str) -> Row:
         target = table_path(target_dir, name)
         try:
             skipped = skip_if_fresh(spark, sources[name], target, force)
@@ -86,12 +95,19 @@ def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir:
                               min_partitions=spark.sparkContext.defaultParallelism)
                 write_table(df, target, mode, compression)
             n = spark.read.parquet(target).count()
-            rows.append(Row(table_name=name, ok=True, skipped=skipped, rows=n, error=None))
+            return Row(table_name=name, ok=True, skipped=skipped, rows=n, error=None)
         except Exception as e:  # reported per table, like the original loader
             if fail_fast:
                 raise
-            rows.append(Row(table_name=name, ok=False, skipped=False, rows=None,
-                            error=f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"))
+            return Row(table_name=name, ok=False, skipped=False, rows=None,
+                       error=f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
+
+    if parallel_tables > 1:
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=parallel_tables) as pool:
+            rows = list(pool.map(load, names))
+    else:
+        rows = [load(n) for n in names]
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
