@@ -1,18 +1,25 @@
 """Skew-safe ``row_number() OVER (PARTITION BY keys ORDER BY order)``.
 
 A window partitioned by ``keys`` sends each key group to one task, so a key
-holding a third of the rows becomes one straggler task.  Here:
-
-1. rows are range-partitioned on ``(keys, order)`` -- a hot key is spread
-   over many consecutive partitions, each of bounded size;
-2. rows are numbered within (partition, key) by a window whose groups are
-   therefore bounded too;
-3. the numbered rows are checkpointed (reliable, under the session's
-   checkpoint directory) so both uses below see the same partitions;
-4. a summary with one row per partition (first key, last key, rows of the
-   last key) gives each partition's carry-over for its first key -- only the
-   first key of a partition can continue from earlier partitions;
-5. the summary, bounded by the partition count, is broadcast and added.
+holding a third of the rows becomes one straggler task.  The operator first
+counts rows per key (partial aggregation, one pass) and splits the keys:
+
+* keys with at most ``max_group_rows`` rows are numbered by a plain window;
+  each such group fits one task comfortably;
+* hot keys (bounded in number by ``rows / max_group_rows``, so their key set
+  is safe to broadcast) go through the range path:
+
+  1. range-partition on ``(keys, order)`` -- a hot key is spread over many
+     consecutive partitions, each of bounded size;
+  2. number rows within (partition, key) by a window with bounded groups;
+  3. checkpoint (reliable, under the session's checkpoint directory) so
+     both uses below see the same partitions;
+  4. a summary with one row per partition (first key, last key, rows of the
+     last key) gives each partition's carry-over for its first key -- only
+     the first key of a partition can continue from earlier partitions;
+  5. the summary, bounded by the partition count, is broadcast and added.
+
+When no key is hot the result is a lazy plan with a single shuffle.
 """
 
 from __future__ import annotations
@@ -25,18 +32,22 @@ from pyspark.sql import functions as F
 from marquee.session import ensure_checkpoint_dir
 
 PID, LOCAL = "_ord_pid", "_ord_local"
+MAX_GROUP_ROWS = 2_000_000
 
 
-def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   name: str = "ordinal", num_partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = 1-based position of the row within its ``keys`` group.
+def _shuffle_partitions(spark) -> int:
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return 200
 
-    Ties in ``order`` are numbered in an arbitrary but consistent order, as
-    with SQL ``row_number``.  Runs one eager job (the checkpoint).
-    """
+
+def ranged_ordinal(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   name: str = "ordinal", num_partitions: int | None = None) -> DataFrame:
+    """Range-partitioned numbering (steps 1-5 above); runs one eager job."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or _shuffle_partitions(spark)
     keys, order = list(keys), list(order)
     ranged = df.repartitionByRange(n, *keys, *order).withColumn(PID, F.spark_partition_id())
     local = ranged.withColumn(
@@ -61,3 +72,25 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
            .withColumn(name, F.col(LOCAL) + F.when(key == F.col("_first"), F.col("_offset"))
                        .otherwise(F.lit(0))))
     return out.drop(PID, LOCAL, "_first", "_offset")
+
+
+def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                   name: str = "ordinal", num_partitions: int | None = None,
+                   max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Add ``name`` = 1-based position of the row within its ``keys`` group.
+
+    Ties in ``order`` are numbered in an arbitrary order, as with SQL
+    ``row_number``.  Runs one eager job (the key count), plus the range
+    path's checkpoint when some key has more than ``max_group_rows`` rows.
+    """
+    keys, order = list(keys), list(order)
+    by_key = Window.partitionBy(*keys).orderBy(*order)
+    hot = (df.groupBy(*keys).count().filter(F.col("count") > max_group_rows).select(*keys))
+    if hot.isEmpty():
+        return df.withColumn(name, F.row_number().over(by_key).cast("bigint"))
+    # at most rows / max_group_rows keys: a proven bound for the broadcast
+    hot = F.broadcast(hot)
+    cold = df.join(hot, keys, "left_anti").withColumn(
+        name, F.row_number().over(by_key).cast("bigint"))
+    heavy = ranged_ordinal(df.join(hot, keys, "left_semi"), keys, order, name, num_partitions)
+    return cold.unionByName(heavy.select(*cold.columns))

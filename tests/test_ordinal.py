@@ -4,11 +4,12 @@ one key holds a third of the rows and spans several partitions."""
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marquee.operators.ordinal import ordinal_within
+from marquee.operators.ordinal import ordinal_within, ranged_ordinal
 
 
-def _check(df, keys, order, parts):
-    got = ordinal_within(df, keys, order, "o", num_partitions=parts)
+def _check(df, keys, order, parts, max_group_rows=100):
+    got = ordinal_within(df, keys, order, "o", num_partitions=parts,
+                         max_group_rows=max_group_rows)
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     j = got.join(ref, [*keys, *order])
     assert j.count() == df.count() == got.count()
@@ -20,11 +21,19 @@ def test_ordinal_uniform(spark):
     _check(df, ["k"], ["v"], 7)
 
 
+def test_ordinal_no_hot_key_is_one_lazy_window(spark):
+    df = spark.range(0, 2000).select((F.col("id") % 97).alias("k"), F.col("id").alias("v"))
+    got = ordinal_within(df, ["k"], ["v"], "o", max_group_rows=1000)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Scan ExistingRDD" not in plan   # no checkpoint
+    _check(df, ["k"], ["v"], 4, max_group_rows=1000)
+
+
 def test_ordinal_hot_key(spark):
     df = spark.range(0, 9000).select(
         F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id") % 50).alias("k"),
         F.col("id").alias("v"))
-    got = ordinal_within(df, ["k"], ["v"], "o", num_partitions=8)
+    got = ordinal_within(df, ["k"], ["v"], "o", num_partitions=8, max_group_rows=1000)
     # the hot key is split over several range partitions ...
     spread = (df.repartitionByRange(8, "k", "v").filter("k = 5")
                 .select(F.spark_partition_id().alias("p")).distinct().count())
@@ -39,3 +48,10 @@ def test_ordinal_composite_key(spark):
     df = spark.range(0, 3000).select((F.col("id") % 4).alias("a"), (F.col("id") % 3).alias("b"),
                                      (-F.col("id")).alias("v"), F.col("id").alias("w"))
     _check(df, ["a", "b"], ["v", "w"], 5)
+
+
+def test_ranged_path_alone(spark):
+    df = spark.range(0, 4000).select((F.col("id") % 7).alias("k"), (-F.col("id")).alias("v"))
+    got = ranged_ordinal(df, ["k"], ["v"], "o", num_partitions=6)
+    ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("v")))
+    assert got.join(ref, ["k", "v"]).filter("o != rn").count() == 0
