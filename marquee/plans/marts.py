@@ -8,7 +8,10 @@ Plan shape of ``movies`` (all joins on ``movie_id``):
     base ⟕ directors ⟕ actors              -> reuses the movie_id partitioning
 
 The semi joins drop credits of titles that cannot reach the fact before the
-person join and the per-title grouping, which is where the volume is.
+person join and the per-title grouping, which is where the volume is.  Done
+before the person join, they also keep the per-title top-k's partial limit in
+front of the shuffle on the title id (a hot title never reaches one task
+whole).
 """
 
 from __future__ import annotations
@@ -54,13 +57,26 @@ def movies_core(stg_title_basics: DataFrame, stg_ratings: DataFrame) -> DataFram
             .withColumn("rating_category", band("average_rating", *RATING_CATEGORY)))
 
 
+def movie_ids(stg_title_basics: DataFrame, stg_ratings: DataFrame) -> DataFrame:
+    """Ids of the titles that reach the fact table (titles ⋈ ratings)."""
+    return stg_title_basics.join(stg_ratings, "movie_id").select("movie_id")
+
+
 def movies(stg_title_basics: DataFrame, stg_ratings: DataFrame, stg_crew: DataFrame,
-           stg_actor: DataFrame, k: int = TOP_ACTORS) -> DataFrame:
-    """One row per rated movie with ordered ``directors`` and top-``k`` ``actors``."""
+           stg_actor: DataFrame, k: int = TOP_ACTORS, prefiltered: bool = False) -> DataFrame:
+    """One row per rated movie with ordered ``directors`` and top-``k`` ``actors``.
+
+    ``prefiltered``: the crew and actor inputs were already restricted to
+    :func:`movie_ids` before their person joins (the plan used by
+    :class:`marquee.plans.pipeline.Models`); otherwise they are restricted here.
+    """
     base = stg_title_basics.join(stg_ratings, "movie_id")
-    ids = base.select("movie_id")
-    d = directors_agg(stg_crew.join(ids, "movie_id", "left_semi"))
-    a = actors_agg(stg_actor.join(ids, "movie_id", "left_semi"), k)
+    if not prefiltered:
+        ids = base.select("movie_id")
+        stg_crew = stg_crew.join(ids, "movie_id", "left_semi")
+        stg_actor = stg_actor.join(ids, "movie_id", "left_semi")
+    d = directors_agg(stg_crew)
+    a = actors_agg(stg_actor, k)
     return (base.join(d, "movie_id", "left").join(a, "movie_id", "left")
                 .select("movie_id", "title", "original_title", "runtime_minutes",
                         "release_year", "genres", "average_rating", "num_votes",

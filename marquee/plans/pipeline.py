@@ -71,11 +71,22 @@ class Models:
         return self._get("movies_core", lambda: marts.movies_core(
             self.stg_title_basics, self.stg_ratings))
 
+    @property
+    def movie_ids(self) -> DataFrame:
+        return self._get("movie_ids", lambda: marts.movie_ids(
+            self.stg_title_basics, self.stg_ratings))
+
     @property
     def movies(self) -> DataFrame:
-        return self._get("movies", lambda: marts.movies(
-            self.stg_title_basics, self.stg_ratings, self.stg_crew, self.stg_actor,
-            self.params.top_actors))
+        # crew and credits restricted to the surviving titles before their
+        # person joins (same rows for those titles as the staging views)
+        def make():
+            crew = staging.stg_crew(self.bronze["title_crew"], self.stg_person, self.movie_ids)
+            actor = staging.stg_actor(self.bronze["title_principals"], self.stg_person,
+                                      self.movie_ids)
+            return marts.movies(self.stg_title_basics, self.stg_ratings, crew, actor,
+                                self.params.top_actors, prefiltered=True)
+        return self._get("movies", make)
 
     @property
     def dim_directors(self) -> DataFrame:

@@ -71,11 +71,25 @@ def exploded_directors(title_crew: DataFrame) -> DataFrame:
             .filter(F.col("director_id") != ""))
 
 
-def stg_crew(title_crew: DataFrame, person: DataFrame) -> DataFrame:
-    """Director credits enriched with person data (left join keeps orphans)."""
+def _only_titles(df: DataFrame, id_col: str, movie_ids: DataFrame | None) -> DataFrame:
+    """Keep rows of the given titles (whole titles: per-title results are unchanged)."""
+    if movie_ids is None:
+        return df
+    ids = movie_ids.select(F.col("movie_id").alias("_keep_id"))
+    return df.join(ids, F.col(id_col) == F.col("_keep_id"), "left_semi")
+
+
+def stg_crew(title_crew: DataFrame, person: DataFrame,
+             movie_ids: DataFrame | None = None) -> DataFrame:
+    """Director credits enriched with person data (left join keeps orphans).
+
+    ``movie_ids`` restricts the crew to those titles *before* the person
+    join, so the join and every later shuffle only carry credits that can
+    reach the fact table.
+    """
     p = person.select("person_id", F.col("name").alias("director_name"),
                       "birth_year", "death_year", "profession")
-    return (exploded_directors(title_crew)
+    return (_only_titles(exploded_directors(title_crew), "movie_id", movie_ids)
             .join(p, F.col("director_id") == F.col("person_id"), "left")
             .select("movie_id", "director_id", "director_name", "birth_year",
                     "death_year", "profession"))
@@ -89,11 +103,18 @@ def acting_credits(title_principals: DataFrame) -> DataFrame:
                     F.col("nconst").alias("actor_id"), "category", "characters"))
 
 
-def stg_actor(title_principals: DataFrame, person: DataFrame) -> DataFrame:
-    """Acting credits with gender decoded and person data (left join)."""
+def stg_actor(title_principals: DataFrame, person: DataFrame,
+              movie_ids: DataFrame | None = None) -> DataFrame:
+    """Acting credits with gender decoded and person data (left join).
+
+    ``movie_ids`` restricts the credits to those titles before the person
+    join (see :func:`stg_crew`); the last shuffle before the per-title top-k
+    is then the one on the person id, so the top-k's partial limit runs
+    before the shuffle on the title id.
+    """
     p = person.select("person_id", F.col("name").alias("actor_name"),
                       "birth_year", "death_year", "profession")
-    return (acting_credits(title_principals)
+    return (_only_titles(acting_credits(title_principals), "movie_id", movie_ids)
             .join(p, F.col("actor_id") == F.col("person_id"), "left")
             .select("movie_id", "ordering", "actor_id", "actor_name", "category",
                     decode_gender("category").alias("gender"), "characters",

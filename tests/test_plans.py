@@ -54,3 +54,27 @@ def test_flat_questions_drop_people_joins(spark):
     m = models_from_fixtures(spark, SF001)
     p = m.movies.select("movie_id", "average_rating")._jdf.queryExecution().optimizedPlan().toString()
     assert "lineitem" not in p  # the people arrays (and their inputs) are pruned
+
+
+def test_topk_partial_limit_survives_sort_merge_plans(spark):
+    """With broadcasts off (large inputs), the semi join must not hand the
+    top-k an input already partitioned by title, or the partial limit before
+    the title shuffle disappears and a hot title reaches one task whole."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        m = models_from_fixtures(spark, SF001)
+        df = marts.movies_actors(m.movies)
+        df.collect()
+        p = _plan(df).split("== Initial Plan ==")[0]
+        assert "SortMergeJoin" in p
+        assert p.count("WindowGroupLimit") == 2          # partial + final
+        assert ", Partial" in p and ", Final" in p
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
