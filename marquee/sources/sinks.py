@@ -58,11 +58,12 @@ def write_movies_partitioned(movies: DataFrame, path: str, mode: str = "truncate
     decade) and files whose votes ranges barely overlap; sorting by votes
     inside the task tightens the Parquet min/max statistics for votes filters.
     """
-    spark = movies.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df = (movies.withColumn("release_decade", release_decade())
-                .repartitionByRange(n, "release_decade", "num_votes")
-                .sortWithinPartitions("release_decade", "num_votes"))
+    keyed = movies.withColumn("release_decade", release_decade())
+    # without an explicit count AQE sizes the range partitions from the data
+    # (advisory partition size), so small tables do not write hundreds of files
+    ranged = (keyed.repartitionByRange(num_partitions, "release_decade", "num_votes")
+              if num_partitions else keyed.repartitionByRange("release_decade", "num_votes"))
+    df = ranged.sortWithinPartitions("release_decade", "num_votes")
     return write_table(df, path, mode, partition_by="release_decade")
 
 
