@@ -8,6 +8,7 @@ a local directory is created only when nothing is configured (tests).
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -61,6 +62,7 @@ def build_session(master: str | None = None, app_name: str = "marquee",
 
 
 _local_root: dict[int, str] = {}
+_created_roots: list[str] = []
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -77,10 +79,43 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             root = tempfile.mkdtemp(prefix="marquee-ckpt-")
             spark.sparkContext.setCheckpointDir(root)
             _local_root[key] = root
+            _created_roots.append(root)
     return _local_root[key]
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint root."""
+    """A fresh path under the shared checkpoint root (tracked for cleanup)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/marquee-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/marquee-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def cleanup_scratch(spark: SparkSession) -> int:
+    """Delete the scratch paths this process created (any Hadoop file system).
+
+    Call it when the DataFrames read from them are no longer needed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _scratch:
+        p = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        fs = p.getFileSystem(conf)
+        if fs.exists(p):
+            fs.delete(p, True)
+            n += 1
+    return n
+
+
+def _remove_local_roots() -> None:
+    # best effort at interpreter exit, only for local roots this module created
+    import shutil
+    for root in _created_roots:
+        shutil.rmtree(root, ignore_errors=True)
+
+
+atexit.register(_remove_local_roots)

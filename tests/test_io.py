@@ -91,3 +91,11 @@ def test_csv_export(spark, tmp_out):
 def test_bronze_schemas_cover_all_source_files():
     assert set(BRONZE_SCHEMAS) == {"title_basics", "title_ratings", "name_basics", "title_crew",
                                    "title_principals", "title_akas", "title_episode"}
+
+
+def test_scratch_cleanup(spark):
+    from marquee.session import cleanup_scratch, scratch_path
+    p = scratch_path(spark, "t")
+    spark.range(3).write.parquet(p)
+    assert cleanup_scratch(spark) >= 1
+    assert not os.path.exists(p.replace("file:", ""))
