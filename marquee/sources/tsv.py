@@ -34,8 +34,11 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType | str,
           .options(sep="\t", header=True, quote="", escape="", nullValue=SOURCE_NULL,
                    mode="PERMISSIVE", enforceSchema=True)
           .csv(path))
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
+    if min_partitions:
+        gz = [f for f in df.inputFiles() if f.endswith(".gz")]
+        if gz and len(gz) < min_partitions:
+            # one task per gzip file: spread the rows before any further work
+            df = df.repartition(min_partitions)
     return normalize_na(df, na_tokens)
 
 

@@ -99,3 +99,16 @@ def test_scratch_cleanup(spark):
     spark.range(3).write.parquet(p)
     assert cleanup_scratch(spark) >= 1
     assert not os.path.exists(p.replace("file:", ""))
+
+
+def test_unused_tables_load_as_strings_and_gzip_is_spread(spark, tmp_out):
+    p = os.path.join(tmp_out, "akas.tsv")
+    with open(p, "w") as f:
+        f.write("titleId\tordering\ttitle\tregion\tlanguage\ttypes\tattributes\tisOriginalTitle\n")
+        f.write("tt1\t1\tUp\tUS\t\\N\timdbDisplay\t\\N\t0\n")
+    df = tsv.read_tsv(spark, p, "title_akas")
+    assert [tuple(r) for r in df.collect()] == [("tt1", "1", "Up", "US", None, "imdbDisplay", None, "0")]
+    gz = tsv.write_tsv(bindings.raw_bronze(spark, SF001, "title_ratings").coalesce(1),
+                       os.path.join(tmp_out, "gz"))
+    spread = tsv.read_tsv(spark, gz, "title_ratings", min_partitions=4)
+    assert spread.rdd.getNumPartitions() == 4 and spread.count() == 181
