@@ -78,3 +78,14 @@ def test_topk_partial_limit_survives_sort_merge_plans(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_person_stats_aggregate_partially_before_the_shuffle(spark):
+    from marquee.operators.person_stats import career_stats, person_movie_rows
+    m = models_from_fixtures(spark, SF001)
+    stats = career_stats(person_movie_rows(m.movies, "actors", 1, with_gender=True),
+                         lead=True, gender=True)
+    p = _plan(stats)
+    exch = p.index("Exchange hashpartitioning(person_id")
+    assert "partial_" in p[exch:]            # map-side partial aggregate below the exchange
+    assert "Generate explode" in p[exch:]    # (person, movie) rows come from the array, no shuffle
