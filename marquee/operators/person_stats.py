@@ -64,13 +64,16 @@ def career_stats(rows: DataFrame, lead: bool = False, gender: bool = False) -> D
         aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_set("genders"))))
                     .alias("genders"))
     s = rows.groupBy("person_id").agg(*aggs)
-    s = (s.withColumn("avg_movie_rating", exact_mean(F.col("_wsum"), F.col("_credits")))
-          .withColumn("career_span_years",
-                      F.col("latest_movie_year") - F.col("first_movie_year"))
-          .withColumn("best_movie_title", F.col("_best.title"))
-          .withColumn("best_movie_id", F.col("_best.movie_id"))
-          .withColumn("best_movie_year", F.col("_best.release_year")))
+    # one projection (each withColumn would re-analyse the whole plan)
+    derived = [
+        exact_mean(F.col("_wsum"), F.col("_credits")).alias("avg_movie_rating"),
+        (F.col("latest_movie_year") - F.col("first_movie_year")).alias("career_span_years"),
+        F.col("_best.title").alias("best_movie_title"),
+        F.col("_best.movie_id").alias("best_movie_id"),
+        F.col("_best.release_year").alias("best_movie_year"),
+    ]
     if lead:
-        s = s.withColumn("lead_role_percentage",
-                         rounded_share(F.col("lead_role_count"), F.col("_credits")))
-    return s.drop("_wsum", "_best", "_credits")
+        derived.append(rounded_share(F.col("lead_role_count"), F.col("_credits"))
+                       .alias("lead_role_percentage"))
+    keep = [c for c in s.columns if c not in ("_wsum", "_best", "_credits")]
+    return s.select(*keep, *derived)
