@@ -40,3 +40,11 @@ def test_scalars(spark):
     r = df.select(trim_ws("s"), safe_int(trim_ws("s")), safe_int(F.lit("1994.0")),
                   token_estimate("t"), decade("y"), age("b", "d", "2026-06-30")).first()
     assert tuple(r) == ("12", 12, None, 2, 1990, 96)
+
+
+def test_cluster_conf_scales_partitions():
+    from marquee.session import cluster_conf
+    small, big = cluster_conf(16), cluster_conf(8000)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "24000"
+    assert big["spark.sql.adaptive.skewJoin.skewedPartitionFactor"] == "5"
