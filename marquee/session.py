@@ -26,7 +26,7 @@ DEFAULTS = {
 }
 
 
-def cluster_conf(total_cores: int, shuffle_bytes_per_core: int = 0) -> dict[str, str]:
+def cluster_conf(total_cores: int) -> dict[str, str]:
     """Settings for a large cluster (e.g. 100 TB on 1000 executors).
 
     Shuffle partitions start at ~3x the cores (AQE coalesces small ones), so
