@@ -11,8 +11,10 @@ The result is one row per document with its connected component.
    that order: a node with at least ``prefix(n)`` such private shingles has
    no link and is finished.  This removes what is not a near copy, documents
    with only some shared passages included, without looking at any pair.
-3. The others are joined to clusters through their prefix shingles
-   (:mod:`components`); links never cross clusters.
+3. Among the others the order is refined, rarer shingles first, so that a
+   passage many documents share is in few prefixes.  Nodes are joined to
+   clusters through their prefix shingles (:mod:`components`); links never
+   cross clusters.
 4. A cluster of up to ``max_unit`` nodes is one unit.  Larger clusters are
    cut twice into random units, which finds most links; then their nodes are
    dealt into chunks by component, and every pair of chunks that does not
@@ -284,8 +286,22 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
         _sets(texts.select("want", "text"), k, pct, "all").filter("node = want").drop("want")
         .dropDuplicates(["node"]), "jaccard-sets")
 
+    # prefix shingles in one order for all sets: those in the low range first,
+    # the rarer (among the open nodes) before the more common, then by hash
+    low_end = int(PRIVATE_RANGE * 2.0 ** 64) - (1 << 63)
+    low_rows = sets.select("node", F.explode(F.filter("toks", lambda t: t < low_end)).alias("tok"))
+    common = low_rows.groupBy("tok").agg(F.count("*").alias("c")).filter("c > 1")
+    ranked = low_rows.join(common, "tok").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "tok"))).alias("shared"))
+    n_low = F.size(F.filter("toks", lambda t: t < low_end))
+    room = (prefix(pct) - (n_low - F.coalesce(F.size("shared"), F.lit(0)))).cast("int")
+    more = (prefix(pct) - n_low).cast("int")
+    chosen = sets.join(ranked, "node", "left").select("node", F.concat(
+        F.when((room > 0) & F.col("shared").isNotNull(), F.transform(
+            F.slice("shared", F.lit(1), F.greatest(room, F.lit(0))), lambda x: x["tok"])).otherwise(F.array().cast("array<long>")),
+        F.when(more > 0, F.slice(F.filter("toks", lambda t: t >= low_end), F.lit(1), F.greatest(more, F.lit(0))))
+        .otherwise(F.array().cast("array<long>"))).alias("pre"))
     # clusters by shared prefix shingles
-    pre = sets.select("node", F.explode(F.slice("toks", F.lit(1), prefix(pct).cast("int"))).alias("tok"))
+    pre = chosen.select("node", F.explode("pre").alias("tok"))
     hubs = pre.groupBy("tok").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
     clusters = connected_components(
         pre.join(hubs, "tok").select(F.col("node").alias("u"), F.col("hub").alias("v")))
