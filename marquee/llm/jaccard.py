@@ -16,10 +16,12 @@ The result is one row per document with its connected component.
    clusters through their prefix shingles (:mod:`components`); links never
    cross clusters.
 4. A cluster of up to ``max_unit`` nodes is one unit.  Larger clusters are
-   cut twice into random units, which finds most links; then their nodes are
-   dealt into chunks by component, and every pair of chunks that does not
-   lie in one component is a unit.  No pair is lost and no unit is larger
-   than about twice ``max_unit``.
+   cut twice into random units, which finds most links.  The pairs that are
+   then still apart meet in the blocks of their common prefix shingles, by
+   size; a block that holds more than ``max_unit`` nodes is dealt into chunks
+   by component, and every pair of chunks that does not lie in one component
+   is a unit.  No pair is lost and no unit is larger than about twice
+   ``max_unit``.
 5. Each unit builds a signature tree: leaves hold a node's token bitmap and
    size, inner nodes the OR of their children's bitmaps and the range of
    sizes.  The dual traversal drops pairs of tree nodes whose largest
@@ -34,6 +36,7 @@ becomes a component's name unless the whole component has none.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -228,11 +231,27 @@ def _links(units: DataFrame, pct: int) -> DataFrame:
             .mapInArrow(lambda it: _unit_links(it, pct), "u binary, v binary"))
 
 
-def _grid(big: DataFrame, found: DataFrame, max_unit: int) -> DataFrame:
-    """Chunk pairs of the big clusters that may still hold unknown links."""
+def _blocks(pre: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """(block, node): nodes that share a prefix shingle, by size.
+
+    A band of sizes is as wide as linked sets can differ, so two linked sets
+    lie in the same or in adjacent bands and meet in the upper one.
+    """
+    width = 1.0001 * math.log(100 / pct)
+    band = F.floor(F.log(F.col("n").cast("double")) / width)
+    return (pre.join(sets.select("node", band.alias("band")), "node")
+            .select("node", "tok", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+            .select(F.xxhash64("tok", "band").alias("block"), "node"))
+
+
+def _grid(blocks: DataFrame, found: DataFrame, max_unit: int) -> DataFrame:
+    """Units for the pairs of a block that are not in one component yet; a
+    large block is cut into chunks and every pair of chunks is a unit."""
     comp = connected_components(found)
-    lab = big.join(comp, "node", "left").select(
-        "cluster", "node", F.coalesce("root", "node").alias("root"))
+    lab = blocks.join(comp, "node", "left").select(
+        F.col("block").alias("cluster"), "node", F.coalesce("root", "node").alias("root"))
+    mixed = lab.groupBy("cluster").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b")
+    lab = materialise(lab.join(mixed.select("cluster"), "cluster"), "jaccard-blocks")
     per = lab.groupBy("cluster", "root").agg(F.count("*").alias("c"))
     per = per.withColumn("whole", F.col("c") >= max_unit // 2)
     rest = per.filter(~F.col("whole")).groupBy("cluster").agg(F.sum("c").alias("rest"))
@@ -301,7 +320,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
         F.when(more > 0, F.slice(F.filter("toks", lambda t: t >= low_end), F.lit(1), F.greatest(more, F.lit(0))))
         .otherwise(F.array().cast("array<long>"))).alias("pre"))
     # clusters by shared prefix shingles
-    pre = chosen.select("node", F.explode("pre").alias("tok"))
+    pre = materialise(chosen.select("node", F.explode("pre").alias("tok")), "jaccard-prefix")
     hubs = pre.groupBy("tok").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub < last")
     clusters = connected_components(
         pre.join(hubs, "tok").select(F.col("node").alias("u"), F.col("hub").alias("v")))
@@ -315,8 +334,8 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
 
     first = random_units(dealt, 1).unionByName(random_units(dealt.filter("parts > 1"), 2))
     found = materialise(_links(first.join(sets, "node"), pct), "jaccard-links")
-    big = dealt.filter("parts > 1").select("cluster", "node")
-    more = _links(_grid(big, found, max_unit).join(sets, "node"), pct)
+    big = pre.join(dealt.filter("parts > 1").select("node"), "node")
+    more = _links(_grid(_blocks(big, sets, pct), found, max_unit).join(sets, "node"), pct)
     comp = connected_components(found.unionByName(more))
 
     named = comp.join(nodes.select("node", "low_id"), "node")
