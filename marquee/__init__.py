@@ -6,7 +6,7 @@ Layers (each a plain function returning a lazy DataFrame):
 * ``plans``     -- staging models, the nested ``movies`` fact, person dimensions,
                    analytical questions, data tests and usage statistics
 * ``operators`` -- reusable building blocks (ordered nesting, group top-k,
-                   unnesting, per-person statistics, skew-safe ordinals)
+                   unnesting, per-person statistics)
 * ``functions`` -- column-level helpers (safe casts, bands, exact rounding)
 * ``streaming`` -- incremental append of usage records with Structured Streaming
 """

@@ -1,13 +1,10 @@
 """Per-person career statistics from a nested fact table.
 
-Step 1 (:func:`person_movie_rows`) turns each movie's people array into one
-row per distinct (person, movie) with the number of credits, without a
-shuffle: the grouping happens inside the array with higher-order functions.
-Step 2 (:func:`career_stats`) is a single ``groupBy(person)`` whose partial
-aggregation collapses a prolific person to one row per map task.
-
-Means and sums are per credit (a person listed twice weighs twice); the
-movie count is per distinct movie.
+Step 1 (:func:`person_movie_rows`) explodes the fields it needs of each
+movie's people array, one row per credit; the other fields are not read.
+Step 2 (:func:`career_stats`) is one ``groupBy(person)`` with partial
+aggregation.  Means and sums are per credit (a person listed twice weighs
+twice); the movie count is per distinct movie.
 """
 
 from __future__ import annotations
@@ -22,33 +19,27 @@ MOVIE_COLS = ("movie_id", "title", "average_rating", "num_votes", "release_year"
 
 def person_movie_rows(movies: DataFrame, array_col: str, lead_position: int | None = None,
                       with_gender: bool = False) -> DataFrame:
-    """One row per (person id, movie) with ``credits`` (and lead/gender info)."""
-    arr = F.col(array_col)
-    ids = F.array_distinct(F.filter(F.col(f"{array_col}.id"), lambda i: i.isNotNull()))
-
-    def per_person(i):
-        mine = F.filter(arr, lambda a: a["id"] == i)
-        fields = [i.alias("person_id"), F.size(mine).cast("bigint").alias("credits")]
-        if lead_position is not None:
-            at_lead = F.get(arr, lead_position)["id"]
-            fields.append(F.when(at_lead == i, 1).otherwise(0).cast("bigint").alias("lead_credits"))
-        if with_gender:
-            fields.append(F.array_distinct(F.transform(mine, lambda a: a["gender"])).alias("genders"))
-        return F.struct(*fields)
-
-    return (movies.select(*MOVIE_COLS, F.explode(F.transform(ids, per_person)).alias("_p"))
-                  .select(*MOVIE_COLS, "_p.*"))
+    """One row per credit: movie columns, person id (and lead flag, gender)."""
+    fields = ["id", "gender"] if with_gender else ["id"]
+    zipped = F.arrays_zip(*[F.col(f"{array_col}.{f}") for f in fields])
+    names = movies.select(zipped.alias("z")).schema["z"].dataType.elementType.names
+    rows = movies.select(*MOVIE_COLS, F.posexplode(zipped).alias("_pos", "_p"))
+    out = [F.col("_p")[names[0]].alias("person_id")]
+    if lead_position is not None:
+        out.append((F.col("_pos") == lead_position).cast("bigint").alias("lead_credits"))
+    if with_gender:
+        out.append(F.col("_p")[names[1]].alias("gender"))
+    return rows.select(*MOVIE_COLS, *out).filter("person_id IS NOT NULL")
 
 
 def career_stats(rows: DataFrame, lead: bool = False, gender: bool = False) -> DataFrame:
     """Statistics per ``person_id`` from :func:`person_movie_rows` output."""
-    credits = F.col("credits")
     rating = F.col("average_rating")
     aggs = [
-        F.count(F.lit(1)).cast("bigint").alias("total_movies"),
-        F.sum(rating.cast(MEAN_TYPE) * credits.cast("decimal(10,0)")).alias("_wsum"),
-        F.sum(credits).alias("_credits"),
-        F.sum(F.col("num_votes") * credits).cast("bigint").alias("total_votes"),
+        F.countDistinct("movie_id").cast("bigint").alias("total_movies"),
+        F.sum(rating.cast(MEAN_TYPE)).alias("_wsum"),
+        F.count(F.lit(1)).alias("_credits"),
+        F.sum("num_votes").cast("bigint").alias("total_votes"),
         F.min("release_year").alias("first_movie_year"),
         F.max("release_year").alias("latest_movie_year"),
         F.max(rating).alias("best_movie_rating"),
@@ -59,10 +50,7 @@ def career_stats(rows: DataFrame, lead: bool = False, gender: bool = False) -> D
     if lead:
         aggs.append(F.sum("lead_credits").cast("bigint").alias("lead_role_count"))
     if gender:
-        # distinct gender arrays per person: bounded by the few combinations,
-        # not by the number of movies of a prolific person
-        aggs.append(F.array_sort(F.array_distinct(F.flatten(F.collect_set("genders"))))
-                    .alias("genders"))
+        aggs.append(F.array_sort(F.collect_set("gender")).alias("genders"))
     s = rows.groupBy("person_id").agg(*aggs)
     # one projection (each withColumn would re-analyse the whole plan)
     derived = [

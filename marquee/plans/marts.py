@@ -45,7 +45,7 @@ def directors_agg(stg_crew: DataFrame) -> DataFrame:
 def actors_agg(stg_actor: DataFrame, k: int = TOP_ACTORS) -> DataFrame:
     named = stg_actor.filter(F.col("actor_name").isNotNull() & F.col("actor_id").isNotNull())
     return nest_topk(
-        named, "movie_id", ["ordering", "actor_id"],
+        named, "movie_id", ["ordering", "actor_id", "characters"],
         [F.col("actor_id").alias("id"), F.col("actor_name").alias("name"),
          F.col("birth_year"), F.col("death_year"), F.col("characters"), F.col("gender")],
         k, "actors")

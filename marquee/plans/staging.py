@@ -24,8 +24,7 @@ def stg_title_basics(title_basics: DataFrame, min_year: int = MIN_YEAR) -> DataF
     year = safe_int("startYear")
     return (title_basics
             .filter((F.col("titleType") == "movie") & (F.col("isAdult") == 0)
-                    & (year > min_year) & F.col("startYear").isNotNull()
-                    & F.col("primaryTitle").isNotNull() & (F.col("primaryTitle") != ""))
+                    & (year > min_year) & (F.col("primaryTitle") != ""))
             .select(F.col("tconst").alias("movie_id"),
                     F.col("primaryTitle").alias("title"),
                     F.col("originalTitle").alias("original_title"),
@@ -38,7 +37,7 @@ def stg_ratings(title_ratings: DataFrame, min_votes: int = MIN_VOTES) -> DataFra
     """Rated titles with more than ``min_votes`` votes (strict) and sane values."""
     r, v = F.col("averageRating"), F.col("numVotes")
     return (title_ratings
-            .filter(r.isNotNull() & (v > min_votes) & (r >= 0) & (r <= 10) & (v >= 0))
+            .filter((v > min_votes) & r.between(0, 10))
             .select(F.col("tconst").alias("movie_id"),
                     r.alias("average_rating"),
                     v.alias("num_votes")))
@@ -48,10 +47,8 @@ def stg_person(name_basics: DataFrame, birth_range: tuple[int, int] = BIRTH_RANG
     """People with a plausible birth year, a name and known-for titles."""
     birth = safe_int("birthYear")
     return (name_basics
-            .filter(F.col("birthYear").isNotNull() & birth.isNotNull()
-                    & F.col("knownForTitles").isNotNull() & (F.col("knownForTitles") != "")
-                    & F.col("primaryName").isNotNull() & (F.col("primaryName") != "")
-                    & birth.between(*birth_range))
+            .filter(birth.between(*birth_range) & (F.col("knownForTitles") != "")
+                    & (F.col("primaryName") != ""))
             .select(F.col("nconst").alias("person_id"),
                     F.col("primaryName").alias("name"),
                     birth.alias("birth_year"),

@@ -61,7 +61,7 @@ def build_session(master: str | None = None, app_name: str = "marquee",
     return spark
 
 
-_local_root: dict[int, str] = {}
+_local_root: dict[str, str] = {}
 _created_roots: list[str] = []
 
 
@@ -70,12 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if d:
         return d
-    key = id(spark.sparkContext)
+    key = spark.sparkContext.applicationId
     if key not in _local_root:
         existing = spark.sparkContext.getCheckpointDir()
         if existing:
             _local_root[key] = existing
         else:
+            if spark.sparkContext.master.split("[")[0] != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="marquee-ckpt-")
             spark.sparkContext.setCheckpointDir(root)
             _local_root[key] = root

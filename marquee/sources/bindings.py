@@ -13,7 +13,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.operators.ordinal import ordinal_within
 from marquee.schemas import SOURCE_NULL
 
 BOUND_TABLES = ("title_basics", "title_ratings", "name_basics", "title_crew",
@@ -105,11 +104,10 @@ def _credits(spark: SparkSession, sf_dir: str, cols: list[str]) -> DataFrame:
 
 
 def title_principals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cr = _credits(spark, sf_dir, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                                  "l_extendedprice", "l_returnflag", "l_linestatus"])
-    cr = ordinal_within(cr, ["l_partkey"],
-                        ["l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice"],
-                        name="ordering")
+    cr = _credits(spark, sf_dir, ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag",
+                                  "l_linestatus"])
+    # row-local: the models need an order of a title's credits, not a gap-free number
+    ordering = F.col("l_orderkey") * 16 + F.col("l_linenumber")
     pk, ck = F.col("l_partkey"), F.col("o_custkey")
     category = (F.when((F.col("l_returnflag") == "R") | (pk % 19 == 0), "producer")
                  .when(ck % 29 == 0, F.when(F.col("l_linestatus") == "F", "actor")
@@ -117,7 +115,7 @@ def title_principals(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .when(ck % 2 == 0, "actor").otherwise("actress"))
     return cr.select(
         tt(pk).alias("tconst"),
-        F.col("ordering").cast("bigint").alias("ordering"),
+        ordering.cast("bigint").alias("ordering"),
         nm(ck).alias("nconst"),
         category.alias("category"),
         F.lit(None).cast("string").alias("job"),
@@ -127,8 +125,8 @@ def title_principals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def title_crew(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cr = (_credits(spark, sf_dir, ["l_orderkey", "l_partkey", "l_linenumber", "l_returnflag"])
-          .filter((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 2)))
+    cr = (_credits(spark, sf_dir, ["l_orderkey", "l_partkey", "l_returnflag"])
+          .filter(F.col("l_returnflag") == "R"))
     # distinct (title, person) first: partial aggregation spreads a hot title
     # over tasks; the per-title list then holds each director once.
     pairs = cr.select(F.col("l_partkey"), nm("o_custkey").alias("d")).distinct()

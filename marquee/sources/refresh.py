@@ -100,7 +100,7 @@ def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir:
             if fail_fast:
                 raise
             return Row(table_name=name, ok=False, skipped=False, rows=None,
-                       error=f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
+                       error=f"{type(e).__name__}: {e}")
 
     if parallel_tables > 1:
         from concurrent.futures import ThreadPoolExecutor

@@ -18,7 +18,7 @@ def test_actor_arrays_capped_and_in_billing_order(m):
     mv = m.movies
     assert mv.filter(F.col("actor_count") > 10).count() == 0
     # independent numbering: named credits of surviving titles by billing order
-    w = Window.partitionBy("movie_id").orderBy("ordering", "actor_id")
+    w = Window.partitionBy("movie_id").orderBy("ordering", "actor_id", "characters")
     want = (m.stg_actor.filter("actor_name is not null").join(m.movie_ids, "movie_id")
             .withColumn("pos", F.row_number().over(w) - 1).filter("pos < 10")
             .select("movie_id", F.col("pos").cast("bigint").alias("pos"), "actor_id"))
