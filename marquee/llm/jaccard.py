@@ -7,7 +7,7 @@ The result is one row per document with its connected component.
 1. Equal sets collapse to one *node* (128-bit digest of the sorted hashes).
 2. A linked pair shares one of its ``prefix(n)`` smallest shingles under any
    common order.  Shingles that only one node has (looked for among the
-   smallest quarter of the hash range, over all documents) are put first in
+   smallest hashes, ``private_range``, over all documents) are put first in
    that order: a node with at least ``prefix(n)`` such private shingles has
    no link and is finished.  This removes what is not a near copy, documents
    with only some shared passages included, without looking at any pair.
@@ -17,8 +17,8 @@ The result is one row per document with its connected component.
    cross clusters.
 4. A cluster of up to ``max_unit`` nodes is one unit.  Larger clusters are
    cut twice into random units, which finds most links.  The pairs that are
-   then still apart meet in the blocks of their common prefix shingles, by
-   size; a block that holds more than ``max_unit`` nodes is dealt into chunks
+   then still apart meet in blocks of the cluster's nodes of like size, where
+   a size is crowded in blocks of those with a common prefix shingle; a block that holds more than ``max_unit`` nodes is dealt into chunks
    by component, and every pair of chunks that does not lie in one component
    is a unit.  No pair is lost and no unit is larger than about twice
    ``max_unit``.
@@ -49,8 +49,14 @@ from marquee.llm.common import iter_groups, materialise, ship
 from marquee.llm.components import connected_components
 
 FANOUT = 8
-#: share of the hash range in which shingles of a single node are looked for
-PRIVATE_RANGE = 0.25
+
+
+def private_range(pct: int) -> float:
+    """Share of the hash range in which shingles of a single node are looked
+    for: about five thirds of the prefix, so that most nodes show enough."""
+    return min(0.99, (100 - pct) / 60)
+
+
 SIGN = np.uint64(1 << 63)
 
 
@@ -67,7 +73,7 @@ def _signed(h: np.ndarray) -> np.ndarray:
 
 def _doc_sets(batches, k, pct, out: str) -> Iterator[pa.RecordBatch]:
     """Per document: its node digest with its size, low or all shingles."""
-    top = np.uint64(int(PRIVATE_RANGE * 2.0 ** 64))
+    top = np.uint64(int(private_range(pct) * 2.0 ** 64))
     for b in batches:
         others = [(f.name, b.column(i)) for i, f in enumerate(b.schema) if f.name != "text"]
         for lo, hi, data, off in scan.slices(b.column(b.schema.get_field_index("text"))):
@@ -231,17 +237,22 @@ def _links(units: DataFrame, pct: int) -> DataFrame:
             .mapInArrow(lambda it: _unit_links(it, pct), "u binary, v binary"))
 
 
-def _blocks(pre: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """(block, node): nodes that share a prefix shingle, by size.
+def _blocks(big: DataFrame, pre: DataFrame, sets: DataFrame, pct: int, most: int) -> DataFrame:
+    """(block, node): nodes of a cluster by size, those of a crowded size by
+    prefix shingle as well.
 
     A band of sizes is as wide as linked sets can differ, so two linked sets
     lie in the same or in adjacent bands and meet in the upper one.
     """
     width = 1.0001 * math.log(100 / pct)
     band = F.floor(F.log(F.col("n").cast("double")) / width)
-    return (pre.join(sets.select("node", band.alias("band")), "node")
-            .select("node", "tok", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
-            .select(F.xxhash64("tok", "band").alias("block"), "node"))
+    rows = big.join(sets.select("node", band.alias("band")), "node").select(
+        "node", "cluster", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
+    sized = rows.join(rows.groupBy("cluster", "band").agg(F.count("*").alias("c")), ["cluster", "band"])
+    few = sized.filter(F.col("c") <= most).select(F.xxhash64("cluster", "band").alias("block"), "node")
+    many = sized.filter(F.col("c") > most).join(pre, "node").select(
+        F.xxhash64("cluster", "band", "tok").alias("block"), "node")
+    return few.unionByName(many)
 
 
 def _grid(blocks: DataFrame, found: DataFrame, max_unit: int) -> DataFrame:
@@ -307,7 +318,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
 
     # prefix shingles in one order for all sets: those in the low range first,
     # the rarer (among the open nodes) before the more common, then by hash
-    low_end = int(PRIVATE_RANGE * 2.0 ** 64) - (1 << 63)
+    low_end = int(private_range(pct) * 2.0 ** 64) - (1 << 63)
     low_rows = sets.select("node", F.explode(F.filter("toks", lambda t: t < low_end)).alias("tok"))
     common = low_rows.groupBy("tok").agg(F.count("*").alias("c")).filter("c > 1")
     ranked = low_rows.join(common, "tok").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "tok"))).alias("shared"))
@@ -334,8 +345,8 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
 
     first = random_units(dealt, 1).unionByName(random_units(dealt.filter("parts > 1"), 2))
     found = materialise(_links(first.join(sets, "node"), pct), "jaccard-links")
-    big = pre.join(dealt.filter("parts > 1").select("node"), "node")
-    more = _links(_grid(_blocks(big, sets, pct), found, max_unit).join(sets, "node"), pct)
+    blocks = _blocks(dealt.filter("parts > 1").select("node", "cluster"), pre, sets, pct, 4 * max_unit)
+    more = _links(_grid(blocks, found, max_unit).join(sets, "node"), pct)
     comp = connected_components(found.unionByName(more))
 
     named = comp.join(nodes.select("node", "low_id"), "node")
