@@ -298,8 +298,12 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
     # a long that names the row's text: the document id, or a hash where it is null
     base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("key"), "text")
     meta = materialise(_sets(base, k, pct, "meta"), "jaccard-meta")
-    nodes = meta.filter("n > 0").groupBy("node").agg(
-        F.first("n").alias("n"), F.min("key").alias("key"), F.min("doc_id").alias("low_id"))
+    # the row that stands for a node: its smallest key, with the rows that share it
+    nodes = (meta.filter("n > 0").groupBy("node", "key")
+             .agg(F.first("n").alias("n"), F.min("doc_id").alias("low_id"), F.count("*").alias("copies"))
+             .groupBy("node").agg(F.first("n").alias("n"), F.min("low_id").alias("low_id"),
+                                  F.min(F.struct("key", "copies")).alias("row"))
+             .select("node", "n", "low_id", "row.*"))
 
     # private shingles: seen with one node only (equal sets count once)
     low = (_sets(base.select("text"), k, pct, "low").filter("size(toks) > 0")
@@ -309,12 +313,14 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
     open_nodes = materialise(
         nodes.withColumn("h", F.xxhash64("node")).join(private, "h", "left")
         .filter(F.coalesce("own", F.lit(0)) < prefix(pct))
-        .select("node", "key"), "jaccard-open")
+        .select("node", "key", "copies"), "jaccard-open")
 
     texts = base.join(open_nodes.withColumnRenamed("node", "want"), "key")
     sets = materialise(
-        _sets(texts.select("want", "text"), k, pct, "all").filter("node = want").drop("want")
-        .dropDuplicates(["node"]), "jaccard-sets")
+        _sets(texts.select("want", "copies", "text"), k, pct, "all").filter("node = want").drop("want"), "jaccard-sets")
+    # only rows that repeat both doc_id and words need the shuffle
+    sets = (sets.filter("copies = 1").unionByName(sets.filter("copies > 1").dropDuplicates(["node"]))
+            .drop("copies"))
 
     # prefix shingles in one order for all sets: those in the low range first,
     # the rarer (among the open nodes) before the more common, then by hash

@@ -3,7 +3,8 @@
 Texts of one Arrow batch are cut into slices of whole documents (about
 ``SLICE_BYTES`` each, one document at least) and every slice is handled as
 one flat ``uint8`` array with document offsets.  Memory is about 50 bytes
-per byte of a slice.  A null text counts as empty.
+per byte of a slice; Arrow's freed buffers go back to the system after each
+batch, so that an idle worker holds little.  A null text counts as empty.
 
 Token hashes are 64-bit: a position-weighted sum over random byte values,
 finished by a mixing function.  Two different words agree with a chance of
@@ -18,7 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 _rng = np.random.Generator(np.random.PCG64(20240607))
@@ -77,6 +78,7 @@ def slices(col: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, n
         hi = min(n, max(hi, lo + 1))
         yield lo, hi, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 @dataclass
