@@ -49,6 +49,7 @@ from marquee.llm.common import iter_groups, materialise, ship
 from marquee.llm.components import connected_components
 
 FANOUT = 8
+FILTER_WORDS = 1 << 18
 
 
 def private_range(pct: int) -> float:
@@ -102,6 +103,20 @@ def _sets(docs: DataFrame, k: int, pct: int, out: str) -> DataFrame:
     return docs.mapInArrow(lambda it: _doc_sets(it, k, pct, out), schema)
 
 
+def _may_hold(rows: DataFrame, keys: DataFrame, col: str) -> DataFrame:
+    """Rows whose ``col`` may be among the ``col`` of ``keys``, by a bitmap.
+
+    The bitmap is broadcast: at most ``FILTER_WORDS`` rows of two longs (4 MB),
+    however many keys there are.  It only spares the shuffle of rows that the
+    exact join after it would drop; with many more keys than bits it passes all.
+    """
+    slot = f"pmod(xxhash64({col}, 17), {64 * FILTER_WORDS})"
+    words = keys.selectExpr(f"{slot} div 64 AS word", f"shiftleft(1L, cast({slot} % 64 AS int)) AS bit").groupBy(
+        "word").agg(F.bit_or("bit").alias("bits"))
+    return (rows.withColumn("word", F.expr(f"{slot} div 64")).join(F.broadcast(words), "word")
+            .filter(f"getbit(bits, cast({slot} % 64 AS int)) = 1").drop("word", "bits"))
+
+
 # ------------------------------------------------------------- signature tree
 class Tree:
     """Levels of a signature tree, leaves first; sets are sorted arrays."""
@@ -315,7 +330,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
         .filter(F.coalesce("own", F.lit(0)) < prefix(pct))
         .select("node", "key", "copies"), "jaccard-open")
 
-    texts = base.join(open_nodes.withColumnRenamed("node", "want"), "key")
+    texts = _may_hold(base, open_nodes, "key").join(open_nodes.withColumnRenamed("node", "want"), "key")
     sets = materialise(
         _sets(texts.select("want", "copies", "text"), k, pct, "all").filter("node = want").drop("want"), "jaccard-sets")
     # only rows that repeat both doc_id and words need the shuffle
