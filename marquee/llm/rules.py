@@ -109,7 +109,9 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", max
     counts = materialise(document_counts(rows), "quality-counts")
     known = (labels.filter("doc_id is not null and quality is not null")
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    cuts = cutoffs(counts.join(known, "doc_id"), max_false_rejection, level, cost)
+    # one row per stratum, written so that Spark knows its size: a small table is
+    # broadcast and no stratum's documents have to meet in one task
+    cuts = materialise(cutoffs(counts.join(known, "doc_id"), max_false_rejection, level, cost), "quality-cutoffs")
     failed = F.filter(F.array(*[
         F.when(_value(r) >= F.col(f"cut_{r}"), F.lit(r)) for r in RULES]), lambda x: x.isNotNull())
     return (counts.join(cuts, "stratum", "left").withColumn("base_failed", base_failed())
