@@ -16,7 +16,8 @@ from marquee.llm.common import materialise
 
 # near duplicates: five words, similarity of 0.8 or more
 SHINGLE_WORDS, SIMILARITY_PCT = 5, 80
-REPEAT_BYTES = 400
+# repeats: strings of so many bytes (for text without blanks), and every passage of over 50 words
+REPEAT_BYTES, REPEAT_WORDS = 400, 51
 
 
 def _keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -39,9 +40,9 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Suffix-array dedup (8): repeated byte strings are cut out of the texts."""
+    """Suffix-array dedup (8): repeated byte and word strings are cut out of the texts."""
     cols = docs.columns
-    out = suffix_dedup.suffix_dedup(docs, REPEAT_BYTES)
+    out = suffix_dedup.suffix_dedup(docs, REPEAT_BYTES, words=REPEAT_WORDS)
     cut = out.withColumn("text", F.col("_kept"))
     if "n_chars" in cols:
         cut = cut.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(

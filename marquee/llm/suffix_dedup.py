@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by blockwise suffix sorting (operator 8).
+r"""Removal of repeated byte strings by blockwise suffix sorting (operator 8).
 
 Every byte that lies in a ``length``-byte string which also starts anywhere
 else (in any document, the same one included) is removed; texts are judged
@@ -24,6 +24,10 @@ as given.  Exact, and no suffix of the whole corpus is ever shuffled:
    passage with different surroundings) is not gathered: its strings are
    counted by digest in an aggregation instead, with the same result.
 5. The repeated strings' byte ranges return to the documents by a join.
+6. With ``words``, strings of that many words (`[^\x20\x09-\x0D]+`, whatever
+   stands between them) which occur twice go as well, from their first to
+   their last byte: the same steps run on the words' 64-bit hashes, so that
+   ``CODE`` bytes stand for a word.
 
 Ranks compare the bytes themselves; buckets, equal contexts and step 4 rest
 on hashes of 128 bits in total.  Null texts count as empty.  Rows with the
@@ -41,9 +45,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm import scan
-from marquee.llm.common import iter_groups, materialise, ship
+from marquee.llm.common import drop_table, iter_groups, materialise, ship
 
 GRAM = 32
+#: bytes that stand for a word where strings of words are looked for
+CODE = 8
 COVER_MOD = 32
 BLOCK_BYTES = 1 << 20
 
@@ -271,7 +277,40 @@ def repeated_ranges(docs: DataFrame, length: int = 400, max_contexts: int = 4096
     """docs (doc_id, text) -> (rid, th, spans): byte ranges [start, end) of
     repeated strings per document, unsorted and overlapping."""
     ship(docs.sparkSession)
-    base = _identified(docs, "text").filter(F.octet_length("text") >= length)
+    return _ranges(_identified(docs, "text").filter(F.octet_length("text") >= length), length, max_contexts)[0]
+
+
+def _word_codes(batches) -> Iterator[pa.RecordBatch]:
+    """``text`` replaced by its words' hashes."""
+    for b in batches:
+        rid, th = (b.column(b.schema.get_field_index(c)) for c in ("rid", "th"))
+        for lo, hi, data, off in scan.slices(b.column(b.schema.get_field_index("text"))):
+            w = scan.words(data, off)
+            codes = pa.Array.from_buffers(pa.binary(), hi - lo, [
+                None, pa.py_buffer((CODE * w.first).astype(np.int32)), pa.py_buffer(w.hash.astype("<u8").tobytes())])
+            yield pa.RecordBatch.from_arrays([rid.slice(lo, hi - lo), th.slice(lo, hi - lo), codes], ["rid", "th", "text"])
+
+
+def repeated_words(docs: DataFrame, words: int, max_contexts: int = 4096) -> DataFrame:
+    """docs (doc_id, text) -> (rid, th, word_spans): ranges [start, end) of
+    repeated strings of ``words`` words, in bytes of the words' codes."""
+    ship(docs.sparkSession)
+    base = (_identified(docs, "text").filter(F.octet_length("text") >= 2 * words - 1)
+            .mapInArrow(_word_codes, "rid long, th long, text binary")
+            .filter(F.octet_length("text") >= CODE * words))
+    return _written(*_ranges(base, CODE * words, max_contexts)).withColumnRenamed("spans", "word_spans")
+
+
+def _written(spans: DataFrame, tables: list[DataFrame]) -> DataFrame:
+    """``spans`` as a table of its own; those it was made from go."""
+    out = materialise(spans, "suffix-spans")
+    for t in tables:
+        drop_table(t.sparkSession, t)
+    return out
+
+
+def _ranges(base: DataFrame, length: int, max_contexts: int) -> tuple[DataFrame, list[DataFrame]]:
+    """base (rid, th, text) -> (rid, th, spans) and the scratch tables it reads."""
     rows = materialise(base.mapInArrow(
         lambda it: _context_rows(it, length),
         "rid long, th long, bucket long, ctx long, anchor long, r0 int, r1 int"), "suffix-rows")
@@ -301,7 +340,22 @@ def repeated_ranges(docs: DataFrame, length: int = 400, max_contexts: int = 4096
     flagged = found.unionByName(common).unionByName(whole)
     hits = rows.select("rid", "th", "bucket", "ctx", "anchor").join(flagged, ["bucket", "ctx"])
     return hits.groupBy("rid", "th").agg(F.collect_list(F.struct(
-        (F.col("anchor") + F.col("f0")).alias("start"), (F.col("anchor") + F.col("f1") + length).alias("end"))).alias("spans"))
+        (F.col("anchor") + F.col("f0")).alias("start"), (F.col("anchor") + F.col("f1") + length).alias("end"))).alias("spans")
+    ), [rows, seen, cut]
+
+
+def _bytes_of(text: bytes, spans: list, words: int) -> Iterator[dict]:
+    """Ranges of word codes as byte ranges of the text; equal bytes of a word
+    that differs, before or after the words, do not count."""
+    data = np.frombuffer(text, np.uint8)
+    start, end = scan.runs(~scan.SPACE[data], np.array([0, len(data)]))
+    for x in spans:
+        a, b = -(-x["start"] // CODE), x["end"] // CODE
+        if b - a >= words:
+            yield {"start": int(start[a]), "end": int(end[b - 1])}
+
+
+SPANS = ("_spans", "_word_spans")
 
 
 def merged(spans: list | None) -> list[tuple[int, int]]:
@@ -315,15 +369,16 @@ def merged(spans: list | None) -> list[tuple[int, int]]:
     return out
 
 
-def _apply(batches, kept_text: bool) -> Iterator[pa.RecordBatch]:
+def _apply(batches, kept_text: bool, words: int = 0) -> Iterator[pa.RecordBatch]:
     for big in batches:
         for at in range(0, big.num_rows, 1000):
             b = big.slice(at, 1000)
-            others = [(f.name, b.column(i)) for i, f in enumerate(b.schema) if f.name not in ("text", "_spans")]
+            others = [(f.name, b.column(i)) for i, f in enumerate(b.schema) if f.name not in ("text", *SPANS)]
             texts = b.column(b.schema.get_field_index("text")).cast(pa.large_binary()).to_pylist()
             size, removed, runs, out = [], [], [], []
-            for t, s in zip(texts, b.column(b.schema.get_field_index("_spans")).to_pylist()):
-                cut = merged(s)
+            spans, coded = (b.column(b.schema.get_field_index(c)).to_pylist() for c in SPANS)
+            for t, s, c in zip(texts, spans, coded):
+                cut = merged([*(s or ()), *(_bytes_of(t, c, words) if c else ())])
                 edges = [0, *(x for ab in cut for x in ab), len(t or b"")]
                 rest = b"".join((t or b"")[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
                 size.append(len(t or b""))
@@ -338,14 +393,25 @@ def _apply(batches, kept_text: bool) -> Iterator[pa.RecordBatch]:
                 [c for c, _ in others] + ["_n_bytes", "_n_removed", "_n_spans", "_kept"])
 
 
-def suffix_dedup(docs: DataFrame, length: int = 400, kept_text: bool = True, max_contexts: int = 4096) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 400, kept_text: bool = True, max_contexts: int = 4096,
+                 words: int = 0) -> DataFrame:
     """docs with ``text`` replaced by _n_bytes, _n_removed, _n_spans and
-    _kept: the remaining text, or its sha256 if ``kept_text`` is false."""
-    spans = repeated_ranges(docs, length, max_contexts)
+    _kept: the remaining text, or its sha256 if ``kept_text`` is false.
+
+    With ``words``, repeated strings of so many words go besides those of
+    ``length`` bytes."""
+    if words:
+        ship(docs.sparkSession)
+        found = _ranges(_identified(docs, "text").filter(F.octet_length("text") >= length), length, max_contexts)
+        spans = _written(*found).join(repeated_words(docs, words, max_contexts), ["rid", "th"], "full")
+    else:
+        spans = repeated_ranges(docs, length, max_contexts).withColumn("word_spans", F.lit(None).cast(
+            "array<struct<start:long,end:long>>"))
+    spans = spans.select("rid", "th", F.col("spans").alias("_spans"), F.col("word_spans").alias("_word_spans"))
     others = [c for c in docs.columns if c not in ("text", "doc_id")]
     joined = _identified(docs, "doc_id", "text", *others).join(
-        spans.withColumnRenamed("spans", "_spans"), ["rid", "th"], "left").drop("rid", "th")
-    kept = [f for f in joined.schema if f.name not in ("text", "_spans")]
+        spans, ["rid", "th"], "left").drop("rid", "th")
+    kept = [f for f in joined.schema if f.name not in ("text", *SPANS)]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept),
                         "_n_bytes long, _n_removed long, _n_spans long, _kept string"])
-    return joined.mapInArrow(lambda it: _apply(it, kept_text), schema)
+    return joined.mapInArrow(lambda it: _apply(it, kept_text, words), schema)

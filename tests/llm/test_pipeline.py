@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import random
+import re
+from collections import Counter
+
 import corpus_pipeline
 from marquee.llm import decontam, jaccard, rules
 from marquee.llm.common import materialise
@@ -40,3 +44,42 @@ def test_entry_survives_without_the_subpackage(monkeypatch):
     left = entry.queries()
     assert "movies_flat" in left and not any(k.startswith("op1_") or k == "pipeline" for k in left)
     assert "op1_ngram_jaccard_join" not in entry.oracle_sql()
+
+
+def word_repeats_cut(texts, n_bytes, n_words):
+    """Texts without the bytes of repeated ``n_bytes`` strings and of repeated ``n_words`` passages."""
+    raw = [t.encode() for t in texts]
+    words = [[(m.start(), m.end(), m[0]) for m in re.finditer(rb"[^\x20\x09-\x0D]+", b)] for b in raw]
+    strings = Counter(b[i:i + n_bytes] for b in raw for i in range(len(b) - n_bytes + 1))
+    passages = Counter(tuple(x[2] for x in w[i:i + n_words]) for w in words for i in range(len(w) - n_words + 1))
+    out = []
+    for b, w in zip(raw, words):
+        gone = bytearray(len(b))
+        for i in range(len(b) - n_bytes + 1):
+            if strings[b[i:i + n_bytes]] > 1:
+                gone[i:i + n_bytes] = b"\1" * n_bytes
+        for i in range(len(w) - n_words + 1):
+            if passages[tuple(x[2] for x in w[i:i + n_words])] > 1:
+                a, e = w[i][0], w[i + n_words - 1][1]
+                gone[a:e] = b"\1" * (e - a)
+        out.append(bytes(x for x, g in zip(b, gone) if not g).decode("utf-8", "ignore"))
+    return out
+
+
+def test_repeated_passages_of_over_50_words_go(spark):
+    """51 words of under 400 bytes are cut, 50 words stay."""
+    r = random.Random(5)
+    def some(n):
+        return [f"{r.choice('bdfgklmn')}{r.choice('aeiou')}{r.randrange(1000)}" for _ in range(n)]
+    def text(passage):
+        return " ".join([*some(40), *passage, *some(30)])
+    p51, p50, tiny, long = some(51), some(50), [r.choice("abcdefgh") for _ in range(51)], ["x" * 450]
+    assert len(" ".join(p51)) < 400
+    rows = [(i, text(p)) for i, p in enumerate([p51, p50, tiny, long] * 2)]
+    rows.append((8, " ".join(some(20)) + "\n" + "\t ".join(p51) + " end"))
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars int")
+    got = {x.doc_id: x for x in corpus_pipeline.repeat_stage(spark, docs, "").collect()}
+    want = word_repeats_cut([t for _, t in rows], 400, 51)
+    assert {i: x.text for i, x in got.items()} == dict(enumerate(want))
+    assert all(x.n_chars == len(x.text) for x in got.values())
+    assert got[1].text == rows[1][1] and len(got[0].text) < len(rows[0][1]) and " ".join(tiny) not in got[2].text
