@@ -20,23 +20,44 @@ SHINGLE_WORDS, SIMILARITY_PCT = 5, 80
 REPEAT_BYTES, REPEAT_WORDS = 400, 51
 
 
-def _keep(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is (not) in ``ids``."""
-    wanted = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"]), how)
+#: names a row by its content: a hash of the columns besides the text, 128 bits of the text.
+#: Rows with one key are copies of each other, so every decision holds for all of them
+KEY = ("_key0", "_key1", "_key2")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    others = [F.col(c) for c in docs.columns if c != "text"]
+    return docs.withColumns(dict(zip(KEY, (
+        F.xxhash64(F.to_json(F.struct(*others), {"ignoreNullFields": "false"})),
+        F.xxhash64("text"), F.xxhash64(F.lit(1), "text")))))
+
+
+def _drop(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose key is not in ``keys``."""
+    return _keyed(docs).join(keys.select(*KEY).distinct(), list(KEY), "left_anti").select(*docs.columns)
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules (4): documents that a rule rejects go."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    verdict = rules.quality_rules(docs, labels)
-    return _keep(docs, verdict.filter("not kept"), "left_anti")
+    verdict = rules.quality_rules(_keyed(docs), labels, passed=KEY)
+    return _drop(docs, verdict.filter("not kept"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join (1): the smallest doc_id of each group stays."""
-    groups = jaccard.ngram_jaccard_components(docs, k=SHINGLE_WORDS, pct=SIMILARITY_PCT)
-    return _keep(docs, groups.filter("doc_id != component_id"), "left_anti")
+    """N-gram Jaccard join (1): one row of each group stays, that with the
+    smallest doc_id (null last); rows without words are no group."""
+    groups = materialise(jaccard.ngram_jaccard_components(
+        _keyed(docs), k=SHINGLE_WORDS, pct=SIMILARITY_PCT, passed=KEY).filter("`group` is not null"), "pipeline-groups")
+    first = materialise(groups.groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)).alias("first"), F.count("*").alias("n"))
+        .filter("n > 1").select("group", F.struct(*(f"first.{c}" for c in KEY)).alias("first")), "pipeline-first")
+    # the first row's copies have its key, too
+    marked = materialise(groups.join(first, "group").groupBy(*KEY).agg(
+        F.max(F.struct(*KEY) == F.col("first")).alias("stays"), F.count("*").alias("copies"))
+        .filter("copies > 1 or not stays"), "pipeline-marked")
+    once = _keyed(docs).join(marked.filter("stays").select(*KEY), list(KEY), "left_semi").dropDuplicates(list(KEY))
+    return _drop(docs, marked).unionByName(once.select(*docs.columns))
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +74,8 @@ def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (7): documents that hold an item go."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    return _keep(docs, decontam.benchmark_matches(docs, benchmark), "left_anti")
+    rows = _keyed(docs).select(F.struct(*KEY).alias("doc_id"), "text")
+    return _drop(docs, decontam.benchmark_matches(rows, benchmark).select("doc_id.*"))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -302,16 +302,19 @@ def _grid(blocks: DataFrame, found: DataFrame, max_unit: int) -> DataFrame:
     return sides.select("unit", "s.*").join(dealt.select("chunk", "node"), "chunk").select("unit", "side", "node")
 
 
-def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_unit: int = 1024) -> DataFrame:
+def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_unit: int = 1024,
+                             passed: tuple[str, ...] = ()) -> DataFrame:
     """docs (doc_id, text, ...) -> (doc_id, n_shingles, component_id), a row per row.
 
     ``component_id`` is the smallest doc_id reachable by links (its own if
-    there is none).
+    there is none).  With ``passed``, those columns follow as they are, and
+    ``group``, which is the same for the rows of one component whatever their
+    ids are (null for a row without shingles).
     """
     spark = docs.sparkSession
     ship(spark)
     # a long that names the row's text: the document id, or a hash where it is null
-    base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("key"), "text")
+    base = docs.select(F.col("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("key"), "text", *passed)
     meta = materialise(_sets(base, k, pct, "meta"), "jaccard-meta")
     # the row that stands for a node: its smallest key, with the rows that share it
     nodes = (meta.filter("n > 0").groupBy("node", "key")
@@ -373,7 +376,7 @@ def ngram_jaccard_components(docs: DataFrame, k: int = 4, pct: int = 85, max_uni
     named = comp.join(nodes.select("node", "low_id"), "node")
     names = named.groupBy("root").agg(F.min("low_id").alias("name"))
     by_node = nodes.join(comp, "node", "left").join(names, "root", "left").select(
-        "node", F.coalesce("name", "low_id").alias("component_id"))
+        "node", F.coalesce("name", "low_id").alias("component_id"), F.coalesce("root", "node").alias("group"))
     return meta.join(by_node, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "doc_id").alias("component_id"))
+        F.coalesce("component_id", "doc_id").alias("component_id"), *passed, *(["group"] if passed else []))

@@ -102,10 +102,11 @@ def cutoffs(labelled: DataFrame, rate: float, level: float, cost: float) -> Data
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", max_false_rejection: float = 0.02,
-                  level: float = 0.05, cost: float = 10.0) -> DataFrame:
+                  level: float = 0.05, cost: float = 10.0, passed: tuple[str, ...] = ()) -> DataFrame:
     """docs (doc_id, text, <stratum>), labels (doc_id, quality) -> a row per
-    document: doc_id, the counts, base_failed, failed_rules, kept."""
-    rows = docs.select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text")
+    document: doc_id, the counts, base_failed, failed_rules, kept, and the
+    columns ``passed`` as they are."""
+    rows = docs.select("doc_id", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"), "text", *passed)
     counts = materialise(document_counts(rows), "quality-counts")
     known = (labels.filter("doc_id is not null and quality is not null")
              .groupBy("doc_id").agg(F.min("quality").alias("quality")))
@@ -117,4 +118,4 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", max
     return (counts.join(cuts, "stratum", "left").withColumn("base_failed", base_failed())
             .withColumn("failed_rules", failed)
             .select("doc_id", *COUNTS, "base_failed", "failed_rules",
-                    (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept")))
+                    (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), *passed))

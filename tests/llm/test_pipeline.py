@@ -83,3 +83,35 @@ def test_repeated_passages_of_over_50_words_go(spark):
     assert {i: x.text for i, x in got.items()} == dict(enumerate(want))
     assert all(x.n_chars == len(x.text) for x in got.values())
     assert got[1].text == rows[1][1] and len(got[0].text) < len(rows[0][1]) and " ".join(tiny) not in got[2].text
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: a row's verdict does not touch other rows, one row per group stays."""
+    r = random.Random(6)
+    def some(n):
+        return " ".join(f"w{r.randrange(100000)}" for _ in range(n))
+    clean, clean2, clean3, junk, item = some(80), some(80), some(80), "spam " * 60, some(30)
+    leak = some(50) + " " + item + " " + some(20)
+    one = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int").write.parquet(f"{one}/labels.parquet")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{one}/benchmark.parquet")
+    def docs(rows):
+        return spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    def left(stage, rows):
+        out = stage(spark, docs(rows), one)
+        assert out.columns == ["doc_id", "text", "lang"]
+        return Counter((x.doc_id, x.text) for x in out.collect())
+    rows = [(None, clean), (None, junk), (7, clean2), (7, junk), (8, clean3), (8, clean3)]
+    assert left(corpus_pipeline.quality_stage, rows) == Counter(x for x in rows if x[1] != junk)
+    rows = [(None, clean), (None, leak), (7, clean2), (7, leak), (8, clean3), (8, clean3), (9, None), (None, None)]
+    assert left(corpus_pipeline.decontamination_stage, rows) == Counter(x for x in rows if x[1] != leak)
+    near = clean + " end"
+    rows = [(None, clean), (None, near), (None, clean),       # a group without ids
+            (5, clean2), (5, clean2), (5, clean2 + " end"),   # one id throughout
+            (3, clean3), (4, clean3 + " end"), (4, junk), (None, clean3),
+            (5, leak), (6, ""), (6, None)]
+    got = left(corpus_pipeline.near_duplicate_stage, rows)
+    assert sum(got[None, t] for t in (clean, near)) == 1
+    assert got[5, clean2] + got[5, clean2 + " end"] == 1
+    assert got[3, clean3] == got[4, junk] == got[5, leak] == got[6, ""] == got[6, None] == 1
+    assert sum(got.values()) == 7
