@@ -5,7 +5,10 @@ Two kinds of rules find license statements:
 
 * base phrases: places where the words of a phrase stand consecutively;
 * signature rules: regular expressions over the words joined by one blank.
-  A rule runs only on documents that hold all of its keywords (prefilter).
+  A rule runs only on documents that hold all of its keywords (prefilter):
+  words that stand in every match of its pattern, read as runs of ASCII
+  letters and digits.  The bare names in ``AMBIGUOUS`` also mean other things
+  and count only where the text has a word of ``CONTEXT`` somewhere.
 
 Detections overlap ("gpl" inside "gnu lesser gpl version 2.1"), so they are
 resolved in order of priority: a detection that lies inside one kept before
@@ -73,10 +76,14 @@ FAMILIES = (
     ("odbl", ("open database license", "odbl"), ("1",), 2),
     ("proprietary", ("proprietary license", "commercial license"), (), 1),
 )
+SHORT_NAMES = frozenset(n for _, names, _, _ in FAMILIES for n in names if " " not in n)
 #: parts of a Creative Commons name: code words and spelled out
 CC_PARTS = (("by",), ("by", "sa"), ("by", "nd"), ("by", "nc"), ("by", "nc", "sa"), ("by", "nc", "nd"))
 CC_WORDS = {"by": "attribution", "sa": "share ?alike", "nd": "no ?deriv(?:ative)?s?(?: works)?", "nc": "non ?commercial"}
 CC_VERSIONS = ("1", "2", "2.5", "3", "4")
+#: short names that mean a license only in texts that speak of one
+AMBIGUOUS = ("asl", "mpl", "epl", "afl", "osl", "ofl")
+CONTEXT = ("license", "licenses", "licensed", "licence", "licences", "licenced", "licensing")
 #: texts that are characteristic of a license without naming it
 TEXTS = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy", ("hereby", "granted", "charge")),
@@ -97,6 +104,7 @@ class Rule:
     keywords: tuple[str, ...]
     priority: int
     weight: float
+    context: bool = False
 
 
 def _version(v: str) -> str:
@@ -109,27 +117,38 @@ def signature_rules() -> tuple[Rule, ...]:
     """All rules, highest priority first."""
     rules = []
     for stem, names, versions, rank in FAMILIES:
-        said = r"(?:licensed|released|distributed|available|published) (?:under|according to) (?:the terms of )?"
+        forms = {f: rf"(?:licensed|released|distributed|available|published) {f} (?:the terms of )?"
+                 for f in ("under", "according to")}
+        said = "(?:" + "|".join(forms.values()) + ")"
         for name in names:
             words = tuple(w for w in name.split() if w not in ("the", "and"))
             n = f"(?:the )?{name}"
             # the longer match takes in what the plain rules below would find inside it
             long = f"(?:{said})?{n}"
+            fsf = "(?:as published by the free software foundation )?(?:either )?"
+            later = "(?:of the license )?or (?:at your option )?any later"
+            short = words[-1] in SHORT_NAMES
             for v in versions:
                 label, ver = f"{stem}-{v}", _version(v)
                 num = tuple(v.split("."))
+                # the number as a word of its own, after "v", and after the name ("gplv2")
                 rules += [
-                    Rule(label, rf"\b{long} (?:version|ver|v)? ?{ver}\b", words + num, 60 + 5 * rank, 0.9),
-                    Rule(label, rf"\b{long} v{ver}\b", words, 60 + 5 * rank, 0.9),
-                    Rule(f"{label}-or-later", rf"\b{long} (?:as published by the free software foundation )?(?:either )?"
-                         rf"(?:version|v)? ?{ver} (?:of the license )?or (?:at your option )?any later\b",
+                    Rule(label, rf"\b{long} (?:(?:version|ver|v) )?{ver}\b", words + num, 60 + 5 * rank, 0.9),
+                    Rule(label, rf"\b{long} (?:version|ver|v){ver}\b", words, 60 + 5 * rank, 0.9),
+                    Rule(f"{label}-or-later", rf"\b{long} {fsf}(?:(?:version|v) )?{ver} {later}\b",
                          words + num + ("later",), 70 + 5 * rank, 0.95),
+                    Rule(f"{label}-or-later", rf"\b{long} {fsf}(?:version|v){ver} {later}\b",
+                         words + ("later",), 70 + 5 * rank, 0.95),
                 ]
-            rules += [
-                Rule(stem, rf"\b{said}{n}\b",
-                     words + ("under",), 40 + 5 * rank, 0.85),
-                Rule(stem, rf"\b{n}\b", words if len(words) > 1 else words + ("license",), 20 + 5 * rank, 0.6),
-            ]
+                if short:
+                    joined = (*words[:-1], f"{words[-1]}v{num[0]}", *num[1:])
+                    rules += [
+                        Rule(label, rf"\b{long}v{ver}\b", joined, 60 + 5 * rank, 0.9),
+                        Rule(f"{label}-or-later", rf"\b{long}v{ver} {later}\b", joined + ("later",), 70 + 5 * rank, 0.95),
+                    ]
+            rules += [Rule(stem, rf"\b{pattern}{n}\b", words + (f.split()[0],), 40 + 5 * rank, 0.85)
+                      for f, pattern in forms.items()]
+            rules.append(Rule(stem, rf"\b{n}\b", words, 20 + 5 * rank, 0.6, name in AMBIGUOUS))
     for parts in CC_PARTS:
         code, spelled = " ".join(parts), " ".join(CC_WORDS[p] for p in parts)
         stem, rank = "cc-" + "-".join(parts), 2 * len(parts)
@@ -163,19 +182,25 @@ def resolve(found: list[tuple[int, int, int, str, float]]) -> list[tuple[int, in
     return kept
 
 
+NOT_ASCII_ALNUM = scan.NOT_ALNUM.copy()
+NOT_ASCII_ALNUM[0x80:] = True
+
+
 def _hash(word: str) -> int:
     b = np.frombuffer(word.encode(), np.uint8)
     return int(scan.range_hash(b, np.array([0]), np.array([len(b)]))[0])
 
 
 class Scanner:
-    """Compiled rules; made once per task."""
+    """Compiled rules; made once per task.  ``gated`` is off only in tests."""
 
-    def __init__(self):
+    def __init__(self, gated: bool = True):
+        self.gated = gated
         self.phrases = [(np.array([_hash(x) for x in p.split()], dtype=np.uint64), label)
                         for p, label in BASE_PHRASES.items()]
         self.rules = [(r, re.compile(r.pattern), frozenset(_hash(k) for k in r.keywords)) for r in signature_rules()]
-        self.keys = np.array(sorted({k for _, _, kw in self.rules for k in kw}), dtype=np.uint64)
+        self.context = frozenset(_hash(k) for k in CONTEXT)
+        self.keys = np.array(sorted(self.context.union(*(kw for _, _, kw in self.rules))), dtype=np.uint64)
 
     def base(self, w: scan.Words, phrase: np.ndarray) -> np.ndarray:
         n = len(w.hash) - len(phrase) + 1
@@ -202,17 +227,20 @@ class Scanner:
             np.maximum.at(last, doc, at - w.first[doc])
             for d, a in zip(doc.tolist(), (at - w.first[doc]).tolist()):
                 base[d].append((1000, a, a + len(phrase), label, 0.9))
-        # prefilter: which rule keywords each document holds
+        # prefilter: which rule keywords each document holds; a pattern's \b also
+        # stands beside quotes and dashes beyond ASCII, which are part of a word
+        g = scan.words(data, off, NOT_ASCII_ALNUM) if len(data) and data.max() > 127 else w
         have: dict[int, set] = defaultdict(set)
-        pos = np.searchsorted(self.keys, w.hash)
+        pos = np.searchsorted(self.keys, g.hash)
         pos[pos == len(self.keys)] = 0
-        hit = np.flatnonzero(self.keys[pos] == w.hash) if len(w.hash) else np.zeros(0, np.int64)
-        for d, h in zip(w.doc[hit].tolist(), w.hash[hit].tolist()):
+        hit = np.flatnonzero(self.keys[pos] == g.hash) if len(g.hash) else np.zeros(0, np.int64)
+        for d, h in zip(g.doc[hit].tolist(), g.hash[hit].tolist()):
             have[d].add(h)
         labels, score = [[] for _ in range(m)], np.zeros(m)
-        for d in sorted(base.keys() | have.keys()):
+        for d in sorted(base.keys() | have.keys()) if self.gated else range(m):
             found = list(base[d])
-            todo = [(r, rx) for r, rx, kw in self.rules if kw <= have[d]]
+            told = not self.context.isdisjoint(have[d])
+            todo = [(r, rx) for r, rx, kw in self.rules if (kw <= have[d] or not self.gated) and (told or not r.context)]
             if todo:
                 lo, hi = w.first[d], w.first[d + 1]
                 text = b" ".join(data[a:b].tobytes() for a, b in zip(w.start[lo:hi], w.end[lo:hi])).decode("utf-8", "replace")

@@ -9,6 +9,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -308,6 +309,29 @@ def test_license_scan(spark):
     assert len(licenses.signature_rules()) > 300
 
 
+def test_license_gate_drops_no_match():
+    """Gated and ungated scans agree on generated phrasings, and these are found."""
+    def scanned(texts, gated):
+        raw = [t.encode() for t in texts]
+        off = np.concatenate([[0], np.cumsum([len(b) for b in raw])])
+        out = licenses.Scanner(gated).scan(np.frombuffer(b"".join(raw), np.uint8), off)
+        return [sorted(x) for x in out[5]], out[6].tolist()
+    told = ["GPL v2 or any later version", "distributed according to the GPL", "GPLv2", "uses LGPLv2.1 code",
+            "the Affero GPLv3 or, at your option, any later version", "\u201cGPL version2\u201d"]
+    assert scanned(told, True)[0] == [["gpl-2-or-later"], ["gpl"], ["gpl-2"], ["lgpl-2.1"], ["agpl-3-or-later"], ["gpl-2"]]
+    assert scanned(["the EPL match", "the EPL (a license)"], True)[0] == [[], ["epl"]]
+    texts = list(told)
+    for _, names, versions, _ in licenses.FAMILIES:
+        for name, before in itertools.product(names, ("", "released under the terms of the ", "available according to ")):
+            texts.append(f"{before}{name} \u2014 see")
+            for v, how in itertools.product(versions[-2:], (" {}", " v{}", " version {}", " version{}", "v{}", ", ver {}.0")):
+                texts += [f"{before}{name}{how.format(v)}", f"{before}{name}{how.format(v)} or (at your option) any later version"]
+    texts += [f"{c}CC-{'-'.join(p)}{v}" for c in ("", "\u00ab") for p in licenses.CC_PARTS for v in ("", " 4.0", "-2.5")]
+    texts += [p for _, p, _ in licenses.TEXTS]
+    texts = random.Random(2).sample(texts, min(len(texts), 700))
+    assert scanned(texts, True) == scanned(texts, False)
+
+
 # ---------------------------------------------------------------------- 10 urls
 def test_url_filter(spark):
     rows = [(1, "http://A.Example.NET/en/x?q"), (2, "https://b.net/z"), (3, "http://net"), (4, None), (5, "no scheme/"),
