@@ -122,10 +122,18 @@ def _anchors(data: np.ndarray, off: np.ndarray, length: int):
     return d, bucket.view(np.int64), ctx.view(np.int64), a - off[d], s0 - a, s1 - a
 
 
-def _context_rows(batches, length: int) -> Iterator[pa.RecordBatch]:
+def _codes(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words' hashes as bytes, with offsets."""
+    w = scan.words(data, off)
+    return w.hash.astype("<u8").view(np.uint8), CODE * w.first
+
+
+def _context_rows(batches, length: int, coded: bool = False) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rid, th = (b.column(b.schema.get_field_index(c)) for c in ("rid", "th"))
         for lo, hi, data, off in scan.slices(b.column(b.schema.get_field_index("text"))):
+            if coded:
+                data, off = _codes(data, off)
             d, bucket, ctx, a, r0, r1 = _anchors(data, off, length)
             row = pa.array(d + lo)
             yield pa.RecordBatch.from_arrays(
@@ -252,10 +260,12 @@ def _sort_blocks(batches, length: int) -> Iterator[pa.RecordBatch]:
 
 
 # ------------------------------------------------------------------ the join
-def _cut_contexts(batches, length: int) -> Iterator[pa.RecordBatch]:
+def _cut_contexts(batches, length: int, coded: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows (text, wanted: list of bucket, ctx, anchor, r0, r1) -> bytes."""
     for b in batches:
         text = b.column(b.schema.get_field_index("text")).cast(pa.large_binary()).to_pylist()
+        if coded:
+            text = [_codes(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0].tobytes() for t in text]
         want = b.column(b.schema.get_field_index("wanted")).to_pylist()
         rows = [(x["bucket"], x["ctx"], x["r0"], x["r1"], (t or b"")[x["anchor"] + x["r0"]:x["anchor"] + x["r1"] + length])
                 for t, ws in zip(text, want) for x in ws]
@@ -280,25 +290,12 @@ def repeated_ranges(docs: DataFrame, length: int = 400, max_contexts: int = 4096
     return _ranges(_identified(docs, "text").filter(F.octet_length("text") >= length), length, max_contexts)[0]
 
 
-def _word_codes(batches) -> Iterator[pa.RecordBatch]:
-    """``text`` replaced by its words' hashes."""
-    for b in batches:
-        rid, th = (b.column(b.schema.get_field_index(c)) for c in ("rid", "th"))
-        for lo, hi, data, off in scan.slices(b.column(b.schema.get_field_index("text"))):
-            w = scan.words(data, off)
-            codes = pa.Array.from_buffers(pa.binary(), hi - lo, [
-                None, pa.py_buffer((CODE * w.first).astype(np.int32)), pa.py_buffer(w.hash.astype("<u8").tobytes())])
-            yield pa.RecordBatch.from_arrays([rid.slice(lo, hi - lo), th.slice(lo, hi - lo), codes], ["rid", "th", "text"])
-
-
 def repeated_words(docs: DataFrame, words: int, max_contexts: int = 4096) -> DataFrame:
     """docs (doc_id, text) -> (rid, th, word_spans): ranges [start, end) of
     repeated strings of ``words`` words, in bytes of the words' codes."""
     ship(docs.sparkSession)
-    base = (_identified(docs, "text").filter(F.octet_length("text") >= 2 * words - 1)
-            .mapInArrow(_word_codes, "rid long, th long, text binary")
-            .filter(F.octet_length("text") >= CODE * words))
-    return _written(*_ranges(base, CODE * words, max_contexts)).withColumnRenamed("spans", "word_spans")
+    base = _identified(docs, "text").filter(F.octet_length("text") >= 2 * words - 1)
+    return _written(*_ranges(base, CODE * words, max_contexts, coded=True)).withColumnRenamed("spans", "word_spans")
 
 
 def _written(spans: DataFrame, tables: list[DataFrame]) -> DataFrame:
@@ -309,10 +306,11 @@ def _written(spans: DataFrame, tables: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _ranges(base: DataFrame, length: int, max_contexts: int) -> tuple[DataFrame, list[DataFrame]]:
-    """base (rid, th, text) -> (rid, th, spans) and the scratch tables it reads."""
+def _ranges(base: DataFrame, length: int, max_contexts: int, coded: bool = False) -> tuple[DataFrame, list[DataFrame]]:
+    """base (rid, th, text) -> (rid, th, spans) and the scratch tables it reads;
+    ``coded``: ranges of the words' codes instead of the texts."""
     rows = materialise(base.mapInArrow(
-        lambda it: _context_rows(it, length),
+        lambda it: _context_rows(it, length, coded),
         "rid long, th long, bucket long, ctx long, anchor long, r0 int, r1 int"), "suffix-rows")
     seen = materialise(rows.groupBy("bucket", "ctx").agg(
         F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("rid", "th", "anchor", "r0", "r1"))), "suffix-contexts")
@@ -321,7 +319,7 @@ def _ranges(base: DataFrame, length: int, max_contexts: int) -> tuple[DataFrame,
     wanted = open_.groupBy("rid", "th").agg(F.collect_list(
         F.struct("bucket", "ctx", "anchor", "r0", "r1")).alias("wanted"))
     cut = (base.join(wanted, ["rid", "th"]).select("text", "wanted")
-           .mapInArrow(lambda it: _cut_contexts(it, length),
+           .mapInArrow(lambda it: _cut_contexts(it, length, coded),
                        "bucket long, ctx long, r0 int, r1 int, bytes binary")
            # rows with equal ids and texts give the same contexts
            .dropDuplicates(["bucket", "ctx"]))
