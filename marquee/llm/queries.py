@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import (decontam, jaccard, langid, licenses, quality_bayes, rules, sentencepiece, suffix_dedup,
-                         tokens, urls)
+from marquee.llm import (collocations, decontam, jaccard, langid, licenses, quality_bayes, rules, secrets,
+                         sentencepiece, spelling, suffix_dedup, tokens, urls)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -90,6 +90,25 @@ def op10_url_filter(spark, sf_dir):
     return out.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+@query
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(_read(spark, sf_dir, "documents"), threshold=10, inside_pct=50, top=2000)
+
+
+@query
+def op12_secret_scan(spark, sf_dir):
+    out = secrets.scan_secrets(_read(spark, sf_dir, "documents"))
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(joined("base"), 256).alias("base_sha256"),
+                      joined("spans").alias("spans"))
+
+
+@query
+def op13_spelling_variants(spark, sf_dir):
+    words = spelling.word_counts(_read(spark, sf_dir, "documents"), min_length=7, min_count=2, typo_every=31)
+    return spelling.spelling_variants(words, ratio=10)
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
@@ -122,3 +141,35 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
 FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id
 """}
+
+# Phrases, cuts and ranks, from the contract alone; HUGEINT products are exact.
+ORACLE["op11_collocations"] = r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz') AS x FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i+k-1])) AS g
+  FROM w, (VALUES (1), (2), (3)) v(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, g, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+f10 AS (SELECT lang, k, array_to_string(g, ' ') AS g, g AS ws, f FROM f WHERE f >= 10),
+parts AS (
+  SELECT lang, g, k, f AS a, 1 AS j, ws[1] AS lp, array_to_string(ws[2:k], ' ') AS rp FROM f10 WHERE k >= 2 UNION ALL
+  SELECT lang, g, k, f AS a, 2 AS j, array_to_string(ws[1:2], ' '), ws[3] FROM f10 WHERE k = 3),
+cuts AS (
+  SELECT c.lang, c.g, c.k, c.a, c.j, l.f AS l, r.f AS r, (1000000 * c.a * c.a) // (l.f * r.f) AS score
+  FROM parts c JOIN f10 l ON l.lang = c.lang AND l.g = c.lp JOIN f10 r ON r.lang = c.lang AND r.g = c.rp),
+cut AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, j) = 1),
+longer AS (
+  SELECT lang, s, max(f) AS m FROM (
+    SELECT lang, f, array_to_string(ws[1:2], ' ') AS s FROM f10 WHERE k = 3 UNION ALL
+    SELECT lang, f, array_to_string(ws[2:3], ' ') FROM f10 WHERE k = 3) GROUP BY ALL),
+kept AS (
+  SELECT c.lang, c.g AS phrase, a, l, r, score FROM cut c
+  LEFT JOIN longer o ON o.lang = c.lang AND o.s = c.g WHERE o.m IS NULL OR 100 * o.m < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
