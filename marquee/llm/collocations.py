@@ -38,8 +38,10 @@ from marquee.llm.common import materialise, ship
 
 U64 = np.uint64
 #: words of a block; three word codes fit into 63 bits
-BLOCK_WORDS = (1 << 21) - 2
+BLOCK_WORDS = 1 << 20
 CODE_BITS = 21
+#: phrases of a block that are handled at a time
+PART = 1 << 18
 CODE = U64((1 << CODE_BITS) - 1)
 
 BLANK = np.zeros(256, dtype=bool)
@@ -91,7 +93,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
             three = np.flatnonzero(p[:-2] == p[2:])
             three = three[three < m]
             keys.append((c[three] << U64(2 * CODE_BITS)) | (c[three + 1] << U64(CODE_BITS)) | c[three + 2])
-            yield (lang, enc.dictionary, *np.unique(np.concatenate(keys), return_counts=True))
+            yield (lang, enc.dictionary, *_distinct(np.concatenate(keys)))
 
     for b in batches:
         lang = b.column(b.schema.get_field_index("lang"))
@@ -110,6 +112,13 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
         yield from close(k, parts)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and their counts; sorts ``keys`` in place."""
+    keys.sort()
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[at], np.diff(np.append(at, len(keys)))
+
+
 def _codes(keys: np.ndarray) -> list[np.ndarray]:
     """Word numbers of the keys, first word first; -1 where a key has fewer words."""
     c = [((keys >> U64(s)) & CODE).astype(np.int64) - 1 for s in (2 * CODE_BITS, CODE_BITS, 0)]
@@ -125,9 +134,12 @@ def _hashes(lang: str, words: pa.Array, keys: np.ndarray) -> np.ndarray:
     own = np.append(own, U64(0))  # of number -1
     seed = U64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
     h = np.full(len(keys), seed)
-    for c, p in zip(_codes(keys), scan.powers(5)[1:]):
-        h += own[c] * p
-    return scan.mix(h)
+    for lo in range(0, len(keys), PART):
+        part = h[lo:lo + PART]
+        for c, p in zip(_codes(keys[lo:lo + PART]), scan.powers(5)[1:]):
+            part += own[c] * p
+        part[:] = scan.mix(part)
+    return h
 
 
 def _place(h: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,7 +152,7 @@ def _partials(batches, buckets: int, threshold: int) -> Iterator[pa.RecordBatch]
     """One row (bucket, 4-byte phrase hashes, 1-byte counts up to the threshold) for each block and bucket."""
     for lang, words, keys, counts in _blocks(batches):
         bucket, low = _place(_hashes(lang, words, keys), buckets)
-        order = np.lexsort((low, bucket))
+        order = np.argsort(bucket, kind="stable")
         bucket, low, counts = bucket[order], low[order], np.minimum(counts[order], threshold).astype(np.uint8)
         ids, first = np.unique(bucket, return_index=True)
         ends = [*first[1:].tolist(), len(bucket)]
@@ -236,8 +248,8 @@ def _counted(batches, filter_, buckets: int, bits: int) -> Iterator[pa.RecordBat
         counts = counts[keep]
         for k in (1, 2, 3):
             at = np.flatnonzero(n_words == k)
-            for lo in range(0, len(at), 1 << 18):
-                part = at[lo:lo + (1 << 18)]
+            for lo in range(0, len(at), PART):
+                part = at[lo:lo + PART]
                 phrase = [words.take(pa.array(c[part])) for c in (first, second, third)[:k]]
                 phrase = pc.binary_join_element_wise(*phrase, b" ") if k > 1 else phrase[0]
                 yield _rows(lang, phrase.cast(pa.string()), k, counts[part])
@@ -271,7 +283,7 @@ def phrase_counts(docs: DataFrame, threshold: int = 10, capacity: int = 1 << 20,
     segments = partial.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(
         lambda it: _segments(it, capacity, threshold, bits), "bucket long, bits binary")
     flags = bytearray(buckets * bits // 8)
-    for row in segments.toLocalIterator():  # filter_bits in all
+    for row in segments.collect():  # filter_bits in all
         flags[row.bucket * bits // 8:(row.bucket + 1) * bits // 8] = row.bits
     filter_ = spark.sparkContext.broadcast(bytes(flags))
     rows = texts.mapInArrow(lambda it: _counted(it, filter_, buckets, bits), "lang string, phrase string, words long, c long")
