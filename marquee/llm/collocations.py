@@ -38,7 +38,7 @@ from marquee.llm.common import materialise, ship
 
 U64 = np.uint64
 #: words of a block; three word codes fit into 63 bits
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 CODE_BITS = 21
 #: phrases of a block that are handled at a time
 PART = 1 << 18
@@ -108,6 +108,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.Array,
                     for k, parts in held.items():
                         yield from close(k, parts)
                     held, n_held = {}, 0
+                    pa.default_memory_pool().release_unused()
     for k, parts in held.items():
         yield from close(k, parts)
 
