@@ -88,4 +88,4 @@ def test_person_stats_aggregate_partially_before_the_shuffle(spark):
     p = _plan(stats)
     exch = p.index("Exchange hashpartitioning(person_id")
     assert "partial_" in p[exch:]            # map-side partial aggregate below the exchange
-    assert "Generate explode" in p[exch:]    # (person, movie) rows come from the array, no shuffle
+    assert "Generate posexplode" in p[exch:]  # credit rows come from the array, no shuffle
