@@ -337,7 +337,8 @@ def _ranges(base: DataFrame, length: int, max_contexts: int, coded: bool = False
     whole = seen.filter("copies > 1").select("bucket", "ctx", F.col("r0").alias("f0"), F.col("r1").alias("f1"))
     flagged = found.unionByName(common).unionByName(whole)
     hits = rows.select("rid", "th", "bucket", "ctx", "anchor").join(flagged, ["bucket", "ctx"])
-    return hits.groupBy("rid", "th").agg(F.collect_list(F.struct(
+    # a set: copies of one row (equal id and text) find the same ranges
+    return hits.groupBy("rid", "th").agg(F.collect_set(F.struct(
         (F.col("anchor") + F.col("f0")).alias("start"), (F.col("anchor") + F.col("f1") + length).alias("end"))).alias("spans")
     ), [rows, seen, cut]
 
