@@ -22,7 +22,8 @@ from marquee.operators.person_stats import career_stats, person_movie_rows
 from marquee.operators.unnest import unnest, unnest_fields, unnest_with_pos
 from marquee.plans import marts, questions, staging, usage
 from marquee.plans.pipeline import FIXED_AS_OF, Models, Params, models_from_fixtures
-from marquee.session import scratch_path
+from marquee.plans.warehouse import MARTS, Warehouse
+from marquee.session import exists, scratch_path
 from marquee.sources import bindings, sinks, tsv
 from marquee.sources.bindings import read_driver
 
@@ -37,6 +38,7 @@ HIGH_RATING = 9.0
 HIGH_DECADE = 2010
 ALT_MIN_YEAR = 1999
 ALT_MIN_VOTES = 150_000
+SQL_TOP_N = 5
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +53,62 @@ def _m(spark: SparkSession, sf_dir: str) -> Models:
     return models_from_fixtures(spark, sf_dir)
 
 
+_warehouses: dict[tuple, Warehouse] = {}
+
+
+def new_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse of its own under the scratch root: bronze tables on disk, marts not built yet."""
+    root = scratch_path(spark, "warehouse")
+    w = Warehouse(spark, root, f"marquee_{root[-12:]}_", params=Params(as_of=FIXED_AS_OF))
+    w.load_bronze(bindings.bronze_tables(spark, sf_dir))
+    return w
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """The written tables of ``sf_dir``, built once for an application and state of its inputs."""
+    key = (spark.sparkContext.applicationId, sf_dir, bindings.fingerprint(spark, sf_dir))
+    w = _warehouses.get(key)
+    if w is None or not (exists(spark, w.path("layout")) and spark.catalog.tableExists(f"{w.prefix}movies")):
+        w = new_warehouse(spark, sf_dir)
+        w.build()
+        _warehouses[key] = w
+    return w
+
+
+def _mart(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return warehouse(spark, sf_dir).table(name)
+
+
+def _marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    w = warehouse(spark, sf_dir)
+    return {n: w.table(n) for n in MARTS}
+
+
+@query
+def build_marts(spark, sf_dir):
+    """Bronze, base, people and marts written anew; rows of each table and what its buckets hold."""
+    w = new_warehouse(spark, sf_dir)
+    return w.build().select("table_name", "rows", F.col("buckets").isNotNull().alias("bucketed"))
+
+
+@query
+def build_attach(spark, sf_dir):
+    """The written dimension, found again by another catalog prefix."""
+    w = warehouse(spark, sf_dir)
+    again = Warehouse(spark, w.root, f"{w.prefix}again_").attach()
+    return again.table("dim_directors")
+
+
+@query
+def bronze_akas(spark, sf_dir):
+    return warehouse(spark, sf_dir).table("title_akas")
+
+
+@query
+def bronze_episode(spark, sf_dir):
+    return warehouse(spark, sf_dir).table("title_episode")
+
+
 def _bigint_ints(df: DataFrame) -> DataFrame:
     """Cast int/short/byte columns to BIGINT (compared schemas use BIGINT)."""
     from pyspark.sql import types as T
@@ -88,27 +146,27 @@ def stg_actor(spark, sf_dir):
 # ---------------------------------------------------------------- marts (I6-I8)
 @query
 def movies_flat(spark, sf_dir):
-    return marts.movies_flat(_m(spark, sf_dir).movies)
+    return marts.movies_flat(_mart(spark, sf_dir, "movies"))
 
 
 @query
 def movies_directors(spark, sf_dir):
-    return marts.movies_directors(_m(spark, sf_dir).movies)
+    return marts.movies_directors(_mart(spark, sf_dir, "movies"))
 
 
 @query
 def movies_actors(spark, sf_dir):
-    return marts.movies_actors(_m(spark, sf_dir).movies)
+    return marts.movies_actors(_mart(spark, sf_dir, "movies"))
 
 
 @query
 def dim_directors(spark, sf_dir):
-    return _m(spark, sf_dir).dim_directors
+    return _mart(spark, sf_dir, "dim_directors")
 
 
 @query
 def dim_actors(spark, sf_dir):
-    return _m(spark, sf_dir).dim_actors
+    return _mart(spark, sf_dir, "dim_actors")
 
 
 # ---------------------------------------------------------------- filters / projections
@@ -198,13 +256,13 @@ def join_actor_person_left(spark, sf_dir):
 
 @query
 def unnest_directors(spark, sf_dir):
-    m = _m(spark, sf_dir).movies
+    m = _mart(spark, sf_dir, "movies")
     return unnest(m, "directors.id", "director_id", keep=["movie_id"])
 
 
 @query
 def unnest_actors_pos(spark, sf_dir):
-    m = _m(spark, sf_dir).movies
+    m = _mart(spark, sf_dir, "movies")
     return (unnest_fields(m, "actors", ["id", "gender"], keep=["movie_id"], pos="pos")
             .select("movie_id", F.col("pos").cast("bigint").alias("pos"),
                     F.col("id").alias("actor_id"), "gender"))
@@ -217,13 +275,13 @@ def explode_directors(spark, sf_dir):
 
 @query
 def arr_lengths(spark, sf_dir):
-    m = _m(spark, sf_dir).movies
+    m = _mart(spark, sf_dir, "movies")
     return m.select("movie_id", "director_count", "actor_count")
 
 
 @query
 def arr_first(spark, sf_dir):
-    m = _m(spark, sf_dir).movies
+    m = _mart(spark, sf_dir, "movies")
     return m.select("movie_id", F.get("directors", 0)["id"].alias("first_director_id"),
                     F.get("actors", 0)["id"].alias("first_actor_id"))
 
@@ -246,11 +304,11 @@ def nest_topk_actors(spark, sf_dir):
 
 
 def _director_stats(spark, sf_dir):
-    return career_stats(person_movie_rows(_m(spark, sf_dir).movies, "directors"))
+    return career_stats(person_movie_rows(_mart(spark, sf_dir, "movies"), "directors"))
 
 
 def _actor_stats(spark, sf_dir):
-    rows = person_movie_rows(_m(spark, sf_dir).movies, "actors", marts.LEAD_POSITION)
+    rows = person_movie_rows(_mart(spark, sf_dir, "movies"), "actors", marts.LEAD_POSITION)
     return career_stats(rows, lead=True)
 
 
@@ -289,7 +347,7 @@ def agg_countif_share(spark, sf_dir):
 
 @query
 def agg_distinct_people(spark, sf_dir):
-    m = _m(spark, sf_dir).movies
+    m = _mart(spark, sf_dir, "movies")
     return (unnest_fields(m, "actors", ["id", "gender"])
             .filter(F.col("id").isNotNull())
             .select(F.col("id").alias("actor_id"), "gender").distinct())
@@ -297,7 +355,7 @@ def agg_distinct_people(spark, sf_dir):
 
 @query
 def agg_count_star(spark, sf_dir):
-    m = _m(spark, sf_dir).movies
+    m = _mart(spark, sf_dir, "movies")
     return (unnest_fields(m, "actors", ["id"]).groupBy(F.col("id").alias("actor_id"))
             .agg(F.count(F.lit(1)).alias("credits")))
 
@@ -305,70 +363,90 @@ def agg_count_star(spark, sf_dir):
 # ---------------------------------------------------------------- questions (Q1-Q12)
 @query
 def q_top_rated(spark, sf_dir):
-    return questions.top_rated(_m(spark, sf_dir).movies_core)
+    return questions.top_rated(_mart(spark, sf_dir, "movies"))
 
 
 @query
 def q_movies_by_director_like(spark, sf_dir):
-    return questions.movies_by_director_like(_m(spark, sf_dir).movies, DIRECTOR_LIKE)
+    return questions.movies_by_director_like(_mart(spark, sf_dir, "movies"), DIRECTOR_LIKE)
 
 
 @query
 def q_filmography(spark, sf_dir):
-    return questions.filmography(_m(spark, sf_dir).movies, DIRECTOR_NAME)
+    return questions.filmography(_mart(spark, sf_dir, "movies"), DIRECTOR_NAME)
 
 
 @query
 def q_actors_with_director(spark, sf_dir):
-    return questions.actors_with_director(_m(spark, sf_dir).movies, DIRECTOR_LIKE)
+    return questions.actors_with_director(_mart(spark, sf_dir, "movies"), DIRECTOR_LIKE)
 
 
 @query
 def q_best_of_decade(spark, sf_dir):
-    return questions.best_of_decade(_m(spark, sf_dir).movies_core, DECADE)
+    return questions.best_of_decade(_mart(spark, sf_dir, "movies"), DECADE)
 
 
 @query
 def q_collaboration(spark, sf_dir):
-    return questions.collaboration(_m(spark, sf_dir).movies, ACTOR_LIKE, DIRECTOR_LIKE)
+    return questions.collaboration(_mart(spark, sf_dir, "movies"), ACTOR_LIKE, DIRECTOR_LIKE)
 
 
 @query
 def q_prolific_directors(spark, sf_dir):
-    return questions.prolific_directors(_m(spark, sf_dir).dim_directors)
+    return questions.prolific_directors(_mart(spark, sf_dir, "dim_directors"))
 
 
 @query
 def q_genre_top(spark, sf_dir):
-    return questions.genre_top(_m(spark, sf_dir).movies_core, GENRE)
+    return questions.genre_top(_mart(spark, sf_dir, "movies"), GENRE)
 
 
 @query
 def q_movies_by_actor_eq(spark, sf_dir):
-    return questions.movies_by_actor(_m(spark, sf_dir).movies, ACTOR_NAME)
+    return questions.movies_by_actor(_mart(spark, sf_dir, "movies"), ACTOR_NAME)
 
 
 @query
 def q_rating_and_decade(spark, sf_dir):
-    return questions.rating_and_decade(_m(spark, sf_dir).movies_core, HIGH_RATING, HIGH_DECADE)
+    return questions.rating_and_decade(_mart(spark, sf_dir, "movies"), HIGH_RATING, HIGH_DECADE)
 
 
 @query
 def q_directors_most_movies(spark, sf_dir):
-    return questions.directors_most_movies(_m(spark, sf_dir).movies)
+    return questions.directors_most_movies(_mart(spark, sf_dir, "movies"))
 
 
 @query
 def q_gender_by_decade(spark, sf_dir):
-    return questions.gender_by_decade(_m(spark, sf_dir).movies)
+    return questions.gender_by_decade(_mart(spark, sf_dir, "movies"))
 
 
 @query
 def q_sql_surface(spark, sf_dir):
-    m = _m(spark, sf_dir)
-    return questions.sql_surface(spark, {"movies": m.movies, "dim_directors": m.dim_directors,
-                                         "dim_actors": m.dim_actors},
-                                 questions.SQL_SURFACE_EXAMPLE)
+    return questions.sql_surface(spark, _marts(spark, sf_dir), questions.SQL_SURFACE_EXAMPLE)
+
+
+@query
+def q_sql_by_director(spark, sf_dir):
+    return questions.sql_surface(spark, _marts(spark, sf_dir), questions.SQL_BY_DIRECTOR,
+                                 {"pattern": DIRECTOR_LIKE})
+
+
+@query
+def q_sql_by_actor(spark, sf_dir):
+    return questions.sql_surface(spark, _marts(spark, sf_dir), questions.SQL_BY_ACTOR,
+                                 {"name": ACTOR_NAME})
+
+
+@query
+def q_sql_top(spark, sf_dir):
+    return questions.sql_surface(spark, _marts(spark, sf_dir), questions.SQL_TOP, {"n": SQL_TOP_N})
+
+
+@query
+def q_sql_unnest(spark, sf_dir):
+    return questions.sql_surface(spark, _marts(spark, sf_dir), questions.SQL_UNNEST_PEOPLE,
+                                 {"since": ALT_MIN_YEAR})
 
 
 # ---------------------------------------------------------------- data tests (H1-H4)

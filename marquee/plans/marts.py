@@ -75,6 +75,12 @@ def movies(stg_title_basics: DataFrame, stg_ratings: DataFrame, stg_crew: DataFr
         ids = base.select("movie_id")
         stg_crew = stg_crew.join(ids, "movie_id", "left_semi")
         stg_actor = stg_actor.join(ids, "movie_id", "left_semi")
+    return movies_from_base(base, stg_crew, stg_actor, k)
+
+
+def movies_from_base(base: DataFrame, stg_crew: DataFrame, stg_actor: DataFrame,
+                     k: int = TOP_ACTORS) -> DataFrame:
+    """The fact from a base (titles with ratings) and the people credited on its titles."""
     d = directors_agg(stg_crew)
     a = actors_agg(stg_actor, k)
     return (base.join(d, "movie_id", "left").join(a, "movie_id", "left")

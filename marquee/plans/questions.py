@@ -106,21 +106,68 @@ SELECT dd.director_tier, dd.career_stage,
        CAST(sum(m.num_votes) AS BIGINT) AS votes,
        max(m.average_rating) AS best_rating
 FROM (SELECT m.movie_id, m.num_votes, m.average_rating, d.id AS director_id
-      FROM movies m LATERAL VIEW explode(m.directors) x AS d
-      WHERE exists(m.actors, a -> a.gender = 'Female')) m
-JOIN dim_directors dd ON dd.director_id = m.director_id
+      FROM {movies} m LATERAL VIEW explode(m.directors) x AS d
+      WHERE exists(m.actors.gender, g -> g = 'Female')) m
+JOIN {dim_directors} dd ON dd.director_id = m.director_id
 GROUP BY dd.director_tier, dd.career_stage
 """
 
+# The three query shapes of the front end: name pattern, exact name, ranking.
+SQL_BY_DIRECTOR = """
+SELECT movie_id, title, release_year, average_rating FROM {movies}
+WHERE exists(directors.name, d -> d LIKE :pattern)
+ORDER BY average_rating DESC, num_votes DESC, movie_id LIMIT 10
+"""
+SQL_BY_ACTOR = """
+SELECT movie_id, title, release_year, average_rating FROM {movies}
+WHERE exists(actors.name, a -> a = :name)
+ORDER BY average_rating DESC, num_votes DESC, movie_id
+"""
+SQL_TOP = """
+SELECT movie_id, title, release_year, average_rating FROM {movies}
+ORDER BY average_rating DESC, num_votes DESC, movie_id LIMIT :n
+"""
+# ``UNNEST`` as a table function: people of one array with their position.
+SQL_UNNEST_PEOPLE = """
+SELECT p.gender, p.pos, CAST(count(*) AS BIGINT) AS credits, count(DISTINCT p.id) AS people
+FROM {movies} m, LATERAL {unnest_actors}(m.actors) p
+WHERE m.release_year >= :since
+GROUP BY p.gender, p.pos
+"""
 
-def register_marts(spark: SparkSession, marts: dict[str, DataFrame]) -> None:
-    """Expose the marts to ad-hoc SQL as temporary views."""
-    for name, df in marts.items():
-        df.createOrReplaceTempView(name)
-
-
-def sql_surface(spark: SparkSession, marts: dict[str, DataFrame], text: str) -> DataFrame:
-    """Q12: ad-hoc Spark SQL over the registered marts (``UNNEST`` is written
-    ``LATERAL VIEW explode`` or ``exists(arr, x -> ...)`` in this dialect)."""
-    register_marts(spark, marts)
-    return spark.sql(text)
+TABLE_FUNCTIONS = {
+    "unnest_directors": ("directors", "id STRING, name STRING, birth_year BIGINT, death_year BIGINT"),
+    "unnest_actors": ("actors", "id STRING, name STRING, birth_year BIGINT, death_year BIGINT, "
+                                "characters STRING, gender STRING"),
+}
+
+
+def register_table_functions(spark: SparkSession, prefix: str = "marquee_") -> dict[str, str]:
+    """SQL table functions that stand for ``UNNEST(arr) WITH OFFSET``: name -> registered name."""
+    out = {}
+    for name, (_, fields) in TABLE_FUNCTIONS.items():
+        struct = ", ".join(f"{c}: {t}" for c, t in (f.split(" ") for f in fields.split(", ")))
+        cols = ", ".join(f"e.col.{f.split(' ')[0]}" for f in fields.split(", "))
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}(people ARRAY<STRUCT<{struct}>>) "
+                  f"RETURNS TABLE (pos BIGINT, {fields}) "
+                  f"RETURN SELECT CAST(e.pos AS BIGINT), {cols} FROM posexplode(people) AS e(pos, col)")
+        out[name] = f"{prefix}{name}"
+    return out
+
+
+def sql_surface(spark: SparkSession, marts: dict[str, DataFrame], text: str,
+                args: dict | None = None) -> DataFrame:
+    """Q12: ad-hoc Spark SQL over the marts.
+
+    ``{movies}`` and the like stand for the marts, ``{unnest_actors}`` and
+    ``{unnest_directors}`` for the table functions, ``:name`` for a value of
+    ``args``.  The marts are bound under generated names for this statement
+    only, so views of the session are neither seen as marts nor replaced.
+    """
+    functions = {}
+    if any(f"{{{n}}}" in text for n in TABLE_FUNCTIONS):
+        functions = register_table_functions(spark)
+    for name, registered in functions.items():
+        text = text.replace(f"{{{name}}}", registered)
+    used = {n: df for n, df in marts.items() if f"{{{n}}}" in text}
+    return spark.sql(text, args=args, **used)

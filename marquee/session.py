@@ -96,6 +96,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def cleanup_scratch(spark: SparkSession) -> int:
     """Delete the scratch paths this process created (any Hadoop file system).
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marquee.schemas import SOURCE_NULL
 
 BOUND_TABLES = ("title_basics", "title_ratings", "name_basics", "title_crew",
-                "title_principals")
+                "title_principals", "title_akas", "title_episode")
 
 
 _SCHEMAS: dict[str, object] = {}
@@ -34,6 +34,17 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Modification time and size of the driver tables that the bindings read."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in ("part", "customer", "orders", "lineitem"):
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        st = p.getFileSystem(conf).getFileStatus(p)
+        out.append((st.getModificationTime(), st.getLen()))
+    return tuple(out)
+
+
 def _padded_id(prefix: str, x) -> F.Column:
     # prefix + 7-digit zero-padded key; longer keys are kept whole instead of
     # being cut to 7 characters, so ids stay unique at any scale.
@@ -139,7 +150,33 @@ def title_crew(spark: SparkSession, sf_dir: str) -> DataFrame:
                      _na().alias("writers")))
 
 
+def title_akas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Other titles: the part's name as it is and its upper-case form under a region."""
+    p = read_driver(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    forms = F.explode(F.array(
+        F.struct(F.lit("1").alias("ordering"), F.col("p_name").alias("title"), _na().alias("region"),
+                 F.lit("1").alias("original")),
+        F.struct(F.lit("2").alias("ordering"), F.upper("p_name").alias("title"),
+                 F.when(k % 3 == 0, "NA").otherwise("FR").alias("region"), F.lit("0").alias("original"))))
+    return p.select(k.alias("k"), forms.alias("f")).select(
+        tt("k").alias("titleId"), "f.ordering", "f.title", "f.region", _na().alias("language"),
+        _na().alias("types"), _na().alias("attributes"), F.col("f.original").alias("isOriginalTitle"))
+
+
+def title_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third part is an episode of the title ten numbers below (some without a season)."""
+    p = read_driver(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    return p.filter(k % 3 == 1).select(
+        tt(k).alias("tconst"), tt(k - k % 10).alias("parentTconst"),
+        F.when(k % 7 == 0, _na()).otherwise((k % 5).cast("string")).alias("seasonNumber"),
+        F.col("p_size").cast("string").alias("episodeNumber"))
+
+
 BINDERS = {
+    "title_akas": title_akas,
+    "title_episode": title_episode,
     "title_basics": title_basics,
     "title_ratings": title_ratings,
     "name_basics": name_basics,

@@ -58,13 +58,18 @@ def write_movies_partitioned(movies: DataFrame, path: str, mode: str = "truncate
     decade) and files whose votes ranges barely overlap; sorting by votes
     inside the task tightens the Parquet min/max statistics for votes filters.
     """
+    return write_table(clustered_movies(movies, num_partitions), path, mode,
+                       partition_by="release_decade")
+
+
+def clustered_movies(movies: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """``movies`` with ``release_decade``, range-partitioned and sorted for the partitioned table."""
     keyed = movies.withColumn("release_decade", release_decade())
     # without an explicit count AQE sizes the range partitions from the data
     # (advisory partition size), so small tables do not write hundreds of files
     ranged = (keyed.repartitionByRange(num_partitions, "release_decade", "num_votes")
               if num_partitions else keyed.repartitionByRange("release_decade", "num_votes"))
-    df = ranged.sortWithinPartitions("release_decade", "num_votes")
-    return write_table(df, path, mode, partition_by="release_decade")
+    return ranged.sortWithinPartitions("release_decade", "num_votes")
 
 
 def decade_filter(df: DataFrame, lo_year: int, hi_year: int) -> DataFrame:

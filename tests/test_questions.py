@@ -47,5 +47,5 @@ def test_gender_by_decade_and_sql(spark, m):
          for r in questions.gender_by_decade(m.movies).collect()}
     assert g == {(1990, "Male"): (2, 1), (1990, "Female"): (1, 1), (2010, "Female"): (1, 1)}
     out = questions.sql_surface(spark, {"movies": m.movies},
-                                "SELECT count(*) AS n FROM movies WHERE exists(directors, d -> d.name LIKE '%Nolan')")
+                                "SELECT count(*) AS n FROM {movies} WHERE exists(directors, d -> d.name LIKE '%Nolan')")
     assert out.first().n == 3
