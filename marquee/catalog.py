@@ -10,6 +10,7 @@ the questions are fixed here; the fixture names look like
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -485,6 +486,38 @@ def src_tsv_scan(spark, sf_dir):
     return _bigint_ints(tsv.read_tsv(spark, path, "title_basics"))
 
 
+def _ratings_lines(spark, sf_dir, damaged: bool):
+    """title_ratings as text with its columns reversed; some rows damaged on request."""
+    r = bindings.raw_bronze(spark, sf_dir, "title_ratings").select(
+        *(F.col(c).cast("string") for c in ("numVotes", "averageRating", "tconst")),
+        (F.substring("tconst", 3, 20).cast("bigint") % 50).alias("k"))
+    line = F.concat_ws("\t", "numVotes", "averageRating", "tconst")
+    if damaged:
+        line = (F.when(F.col("k") == 0, F.col("numVotes"))                  # one field only
+                .when(F.col("k") == 1, F.concat(line, F.lit("\tmore")))     # a field too many
+                .when(F.col("k") == 2, F.concat_ws("\t", "numVotes", F.lit("high"), "tconst"))
+                .otherwise(line))
+    path = scratch_path(spark, "ratings-lines")
+    (r.select(line.alias("numVotes\taverageRating\ttconst")).write
+      .options(sep="\u0001", quote="", escape="", header=True).csv(path))
+    return path
+
+
+@query
+def src_tsv_reordered(spark, sf_dir):
+    return tsv.read_tsv(spark, _ratings_lines(spark, sf_dir, False), "title_ratings")
+
+
+@query
+def src_tsv_bad_rows(spark, sf_dir):
+    return tsv.scan_tsv(spark, _ratings_lines(spark, sf_dir, True), "title_ratings")
+
+
+@query
+def src_tsv_drop_bad(spark, sf_dir):
+    return tsv.read_tsv(spark, _ratings_lines(spark, sf_dir, True), "title_ratings", bad_rows="drop")
+
+
 @query
 def src_na_tokens(spark, sf_dir):
     return bindings.bronze(spark, sf_dir, "name_basics")
@@ -524,7 +557,32 @@ def bronze_refresh_report(spark, sf_dir):
                                       f"{landing}/{name}.tsv.gz")
     from marquee.sources.refresh import refresh_bronze
     report = refresh_bronze(spark, sources, scratch_path(spark, "bronze"), parallel_tables=3)
-    return report.select("table_name", "ok", "rows")
+    return report.select("table_name", "ok", "skipped", "rows", "error")
+
+
+@query
+def bronze_refresh_states(spark, sf_dir):
+    """First load, a repeat, a forced repeat, changed files and changed options, with a source that is not there."""
+    from marquee.schemas import STRICT_NA_TOKENS
+    from marquee.sources.refresh import refresh_bronze
+    episodes = scratch_path(spark, "landing")
+    tsv.write_tsv(bindings.raw_bronze(spark, sf_dir, "title_episode"), f"{episodes}/day=1")
+    sources = {"title_episode": episodes, "title_ratings": _ratings_lines(spark, sf_dir, True),
+               "title_akas": f"{episodes}-missing"}
+    target = scratch_path(spark, "bronze")
+    steps = []
+
+    def step(name, **how):
+        report = refresh_bronze(spark, sources, target, **how)
+        steps.append(report.select(F.lit(name).alias("step"), "table_name", "ok", "skipped", "forced", "rows",
+                                   "bad_rows", "null_values", F.col("error").isNotNull().alias("failed")))
+    step("first")
+    step("again")
+    step("forced", force=True)
+    tsv.write_tsv(bindings.raw_bronze(spark, sf_dir, "title_episode").limit(0), f"{episodes}/day=2")
+    step("nested file added")
+    step("other tokens", na_tokens=STRICT_NA_TOKENS)
+    return reduce(DataFrame.unionByName, steps)
 
 
 def _partitioned_movies(spark, sf_dir):

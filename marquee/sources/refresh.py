@@ -1,20 +1,25 @@
 """Bronze refresh: source files -> typed Parquet tables, with a report.
 
-Each table is one Spark job (scan -> NULL tokens -> write).  A table is
-skipped when its target is newer than its source unless ``force`` is set;
-failures are reported per table instead of stopping the run unless
-``fail_fast`` is set.
+Each table is one Spark job (scan -> NULL tokens -> write) whose row counts
+are observed while it writes.  A manifest beside each table lists the source
+files it was loaded from and the load options; a table is skipped when
+neither has changed, unless ``force`` is set.  Failures are reported per
+table instead of stopping the run unless ``fail_fast`` is set.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.schemas import BRONZE_SCHEMAS, DEFAULT_NA_TOKENS
+from marquee.session import exists
 from marquee.sources.sinks import write_table
-from marquee.sources.tsv import read_tsv
+from marquee.sources.tsv import checked, scan_tsv, source_files
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
@@ -22,45 +27,40 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("skipped", T.BooleanType()),
     T.StructField("rows", T.LongType()),
     T.StructField("error", T.StringType()),
+    T.StructField("forced", T.BooleanType()),
+    T.StructField("bad_rows", T.LongType()),
+    T.StructField("null_values", T.LongType()),
 ])
+COUNTS = ("rows", "bad_rows", "null_values")
+FILE = ("path", "length", "modified", "options")
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def _manifest(target: str) -> str:
+    return target.rstrip("/") + ".manifest"
 
 
-def _source_mtime(spark: SparkSession, path: str) -> int | None:
-    """Newest modification time of a source file, glob or directory (one level)."""
-    fs, p = _fs_path(spark, path)
-    statuses = fs.globStatus(p)
-    if not statuses:
-        return None
-    newest = None
-    for st in statuses:
-        items = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
-        for it in items:
-            newest = it.getModificationTime() if newest is None else max(newest, it.getModificationTime())
-    return newest
+def load_options(table: str, na_tokens=None, compression: str = "snappy", mode: str = "truncate",
+                 bad_rows: str = "null") -> str:
+    """What besides the files decides the loaded rows, as text."""
+    tokens = sorted(DEFAULT_NA_TOKENS if na_tokens is None else na_tokens)
+    schema = BRONZE_SCHEMAS[table].simpleString() if table in BRONZE_SCHEMAS else ""
+    return json.dumps([schema, tokens, compression, mode, bad_rows])
 
 
-def _target_mtime(spark: SparkSession, path: str) -> int | None:
-    """Completion time of the last successful write: the commit marker, O(1)."""
-    fs, p = _fs_path(spark, path.rstrip("/") + "/_SUCCESS")
-    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
+def is_fresh(spark: SparkSession, source: str, target: str, options: str = "") -> bool:
+    """True when ``target`` was loaded from exactly the present files of ``source``
+    (path, size and time, nested ones too) with the same options."""
+    if not (exists(spark, target.rstrip("/") + "/_SUCCESS") and exists(spark, _manifest(target) + "/_SUCCESS")):
+        return False
+    old = spark.read.parquet(_manifest(target)).select(*FILE)
+    now = source_files(spark, source).withColumn("options", F.lit(options))
+    return (now.join(old, list(FILE), "left_anti").isEmpty()
+            and old.join(now, list(FILE), "left_anti").isEmpty())
 
 
-def is_fresh(spark: SparkSession, source: str, target: str) -> bool:
-    """True when ``target`` was written successfully after ``source`` last changed."""
-    t = _target_mtime(spark, target)
-    s = _source_mtime(spark, source)
-    return t is not None and s is not None and t >= s
-
-
-def skip_if_fresh(spark: SparkSession, source: str, target: str, force: bool = False) -> bool:
+def skip_if_fresh(spark: SparkSession, source: str, target: str, force: bool = False, options: str = "") -> bool:
     """True when the load of ``source`` into ``target`` can be skipped."""
-    return not force and is_fresh(spark, source, target)
+    return not force and is_fresh(spark, source, target, options)
 
 
 def table_path(root: str, dotted_name: str) -> str:
@@ -69,17 +69,55 @@ def table_path(root: str, dotted_name: str) -> str:
     return f"{root.rstrip('/')}/{table_id(dotted_name)}"
 
 
+def load_table(spark: SparkSession, name: str, source: str, target: str, na_tokens=None,
+               mode: str = "truncate", compression: str = "snappy", bad_rows: str = "null") -> dict[str, int]:
+    """Load one table and write its manifest; returns the counts observed during the write.
+
+    The manifest goes first and comes last: a load that ends in between
+    leaves none, and is done again.
+    """
+    options = load_options(name, na_tokens, compression, mode, bad_rows)
+    files = source_files(spark, source)  # as listed before the load
+    if mode != "append":
+        _delete(spark, _manifest(target))
+    rows = scan_tsv(spark, source, name, na_tokens, min_partitions=spark.sparkContext.defaultParallelism)
+    seen = Observation(f"load-{name}")
+    columns = [c for c in rows.columns if c != "bad_row"]
+    kept = checked(rows, bad_rows)
+    nulls = sum((F.col(c).isNull().cast("bigint") for c in columns), F.lit(0))
+    kept = (rows if bad_rows == "drop" else kept).observe(
+        seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col("bad_row").isNotNull()).alias("bad_rows"),
+        F.coalesce(F.sum(nulls if bad_rows != "drop" else F.when(F.col("bad_row").isNull(), nulls)),
+                   F.lit(0)).alias("null_values"))
+    if bad_rows == "drop":
+        kept = checked(kept, bad_rows)
+    write_table(kept.drop("bad_row"), target, mode, compression)
+    got = seen.get
+    counts = {"rows": got["read"] - (got["bad_rows"] if bad_rows == "drop" else 0),
+              "bad_rows": got["bad_rows"], "null_values": got["null_values"]}
+    (files.withColumns({"options": F.lit(options), **{c: F.lit(n).cast("bigint") for c, n in counts.items()}})
+          .write.mode("overwrite").parquet(_manifest(target)))
+    return counts
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir: str,
                    tables: Sequence[str] | None = None, mode: str = "truncate",
                    force: bool = False, fail_fast: bool = False,
                    na_tokens=None, compression: str = "snappy",
-                   parallel_tables: int = 1) -> DataFrame:
+                   parallel_tables: int = 1, bad_rows: str = "null") -> DataFrame:
     """Load ``sources`` (table -> TSV path) into ``target_dir/<table>``.
 
     Each table is an independent Spark job; ``parallel_tables > 1`` submits
     several at once from driver threads so small tables share the cluster.
-    Returns a report DataFrame (table_name, ok, skipped, rows, error); the
-    row count comes from the written table's Parquet footers.
+    Returns a report DataFrame (``REPORT_SCHEMA``): ``forced`` marks a load
+    that was not needed, ``bad_rows`` the malformed rows (kept or not by the
+    policy of that name), ``null_values`` the NULLs among the loaded values.
+    A skipped table reports the counts of its last load.
     """
     names = list(tables) if tables else list(sources)
     unknown = [t for t in names if t not in sources]
@@ -89,18 +127,20 @@ def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir:
     def load(name: str) -> Row:
         target = table_path(target_dir, name)
         try:
-            skipped = skip_if_fresh(spark, sources[name], target, force)
-            if not skipped:
-                df = read_tsv(spark, sources[name], name, na_tokens,
-                              min_partitions=spark.sparkContext.defaultParallelism)
-                write_table(df, target, mode, compression)
-            n = spark.read.parquet(target).count()
-            return Row(table_name=name, ok=True, skipped=skipped, rows=n, error=None)
+            options = load_options(name, na_tokens, compression, mode, bad_rows)
+            fresh = is_fresh(spark, sources[name], target, options)
+            skipped = fresh and not force
+            if skipped:
+                counts = spark.read.parquet(_manifest(target)).select(*COUNTS).first().asDict()
+            else:
+                counts = load_table(spark, name, sources[name], target, na_tokens, mode, compression, bad_rows)
+            return Row(table_name=name, ok=True, skipped=skipped, rows=counts["rows"], error=None,
+                       forced=fresh and force, bad_rows=counts["bad_rows"], null_values=counts["null_values"])
         except Exception as e:  # reported per table, like the original loader
             if fail_fast:
                 raise
             return Row(table_name=name, ok=False, skipped=False, rows=None,
-                       error=f"{type(e).__name__}: {e}")
+                       error=f"{type(e).__name__}: {e}", forced=False, bad_rows=None, null_values=None)
 
     if parallel_tables > 1:
         from concurrent.futures import ThreadPoolExecutor
@@ -113,7 +153,6 @@ def refresh_bronze(spark: SparkSession, sources: Mapping[str, str], target_dir:
 
 def exit_status(report: DataFrame) -> int:
     """0 all ok, 1 some failed, 2 all failed (the loader's exit codes)."""
-    from pyspark.sql import functions as F
     all_ok, any_ok = report.agg(F.bool_and("ok"), F.bool_or("ok")).first()
     if all_ok:
         return 0
