@@ -478,6 +478,23 @@ def dq_report(spark, sf_dir):
     return quality.run_tests(_bronze(spark, sf_dir))
 
 
+def _faulty_bronze(spark, sf_dir):
+    """Bronze tables with repeated titles and people, titles that are missing and NULLs."""
+    t = dict(_bronze(spark, sf_dir))
+    k = F.substring("tconst", 3, 20).cast("bigint")
+    basics, names = t["title_basics"], t["name_basics"]
+    t["title_basics"] = (basics.filter(k % 13 != 5).unionByName(basics.filter(k % 50 == 0))
+                         .withColumn("titleType", F.when(k % 17 != 0, F.col("titleType"))))
+    t["name_basics"] = names.unionByName(names.filter(F.substring("nconst", 3, 20).cast("bigint") % 40 == 0))
+    t["title_ratings"] = t["title_ratings"].withColumn("tconst", F.when(k % 29 != 0, F.col("tconst")))
+    return t
+
+
+@query
+def dq_report_faulty(spark, sf_dir):
+    return quality.run_tests(_faulty_bronze(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- sources / sinks
 @query
 def src_tsv_scan(spark, sf_dir):

@@ -1,8 +1,8 @@
 """Column data tests as report tables (unique, not_null, relationships).
 
 Each test returns rows ``(table_name, column_name, test, failures)``; a test
-never fails the job, matching warn-only source tests.  All not-null checks of
-one table run in one scan.
+never fails the job, matching warn-only source tests.  :func:`run_tests` scans
+every table once.
 """
 
 from __future__ import annotations
@@ -34,54 +34,84 @@ SOURCE_TESTS = (
 REPORT_COLS = ("table_name", "column_name", "test", "failures")
 
 
-def _row(table: str, column: str, test: str, failures) -> list:
-    return [F.lit(table).alias("table_name"), F.lit(column).alias("column_name"),
-            F.lit(test).alias("test"), failures.cast("bigint").alias("failures")]
-
-
-def unique_test(df: DataFrame, table: str, column: str) -> DataFrame:
-    """Number of non-NULL values that occur more than once."""
-    dup = (df.select(column).filter(F.col(column).isNotNull())
-             .groupBy(column).count().filter(F.col("count") > 1))
-    return dup.agg(*_row(table, column, "unique", F.count(F.lit(1))))
-
-
 def not_null_tests(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """NULL counts of several columns in one pass, one report row per column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_n{i}")
-                      for i, c in enumerate(columns)])
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(f"_n{i}").alias("n"))
-                                for i, c in enumerate(columns)])).alias("s")
-    return counts.select(stack).select(F.lit(table).alias("table_name"),
-                                       F.col("s.c").alias("column_name"),
-                                       F.lit("not_null").alias("test"),
-                                       F.col("s.n").cast("bigint").alias("failures"))
+    return _as_rows(df, [((table, c, "not_null"), F.count_if(F.col(c).isNull())) for c in columns])
 
 
-def relationships_test(child: DataFrame, table: str, column: str,
-                       parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent row."""
-    keys = parent.select(F.col(parent_column).alias("_pk"))
-    orphans = (child.select(column).filter(F.col(column).isNotNull())
-                    .join(keys, F.col(column) == F.col("_pk"), "left_anti"))
-    return orphans.agg(*_row(table, column, "relationships", F.count(F.lit(1))))
+def _families(tests: Sequence[tuple]) -> list[list[tuple[str, str]]]:
+    """(table, column) keys of unique and relationship tests, those linked by a relationship together."""
+    family: dict[tuple[str, str], int] = {}
+    for t in tests:
+        keys = [t[:2]] if t[2] == "unique" else [t[:2], (t[3], t[4])] if t[2] == "relationships" else []
+        for k in keys:
+            family.setdefault(k, len(family))
+        if len(keys) == 2 and family[keys[0]] != family[keys[1]]:
+            old, new = family[keys[0]], family[keys[1]]
+            family = {k: new if f == old else f for k, f in family.items()}
+    out: dict[int, list] = {}
+    for k, f in family.items():
+        out.setdefault(f, []).append(k)
+    return list(out.values())
+
+
+def _keyed_pass(tables: Mapping[str, DataFrame], keys: list[tuple[str, str]], tests: Sequence[tuple],
+                nulls: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Tests of tables that share a key: one scan of each, one grouping by the key.
+
+    Every table's rows come in tagged; a key value then knows how often each
+    table has it, and the NULLs of further columns are summed on the way.
+    """
+    flags = [(i, c) for i, (t, _) in enumerate(keys) for c in nulls.get(t, ())]
+    parts = []
+    for i, (t, column) in enumerate(keys):
+        own = [F.col(c).isNull().cast("bigint") if j == i else F.lit(0).cast("bigint") for j, c in flags]
+        parts.append(tables[t].select(F.col(column).cast("string").alias("k"), F.lit(i).alias("tag"),
+                                      *[f.alias(f"f{n}") for n, f in enumerate(own)]))
+    by_key = reduce(DataFrame.unionByName, parts).groupBy("k").agg(
+        *[F.count_if(F.col("tag") == i).alias(f"n{i}") for i in range(len(keys))],
+        *[F.sum(f"f{n}").alias(f"f{n}") for n in range(len(flags))])
+    there = F.col("k").isNotNull()
+    rows = []
+    for t in tests:
+        if t[2] == "unique" and t[:2] in keys:
+            rows.append((t, F.count_if(there & (F.col(f"n{keys.index(t[:2])}") > 1))))
+        elif t[2] == "relationships" and t[:2] in keys:
+            child, parent = keys.index(t[:2]), keys.index((t[3], t[4]))
+            rows.append((t, F.sum(F.when(there & (F.col(f"n{parent}") == 0), F.col(f"n{child}")))))
+    rows += [((keys[i][0], c, "not_null"), F.sum(f"f{n}")) for n, (i, c) in enumerate(flags)]
+    return _as_rows(by_key, rows)
+
+
+def _as_rows(df: DataFrame, rows: list[tuple]) -> DataFrame:
+    """One report row per (test, aggregate over ``df``)."""
+    one = df.agg(*[F.coalesce(agg, F.lit(0)).cast("bigint").alias(f"r{i}") for i, (_, agg) in enumerate(rows)])
+    report = F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(t[:3], REPORT_COLS)], F.col(f"r{i}").alias("failures"))
+                       for i, (t, _) in enumerate(rows)])
+    return one.select(F.explode(report).alias("s")).select("s.*")
 
 
 def run_tests(tables: Mapping[str, DataFrame], tests: Sequence[tuple] = SOURCE_TESTS) -> DataFrame:
-    """All tests as one report DataFrame with a pass/warn status."""
-    parts = []
-    nn: dict[str, list[str]] = {}
+    """All tests as one report DataFrame with a pass/warn status.
+
+    Each table is scanned once: unique and relationship tests on a shared key
+    are one grouping by it, which also sums the NULLs; a table without such a
+    test takes one aggregate.
+    """
+    for t in tests:
+        if t[2] not in ("unique", "not_null", "relationships"):
+            raise ValueError(f"unknown test {t[2]!r}")
+    nulls: dict[str, list[str]] = {}
     for t in tests:
-        table, column, kind = t[:3]
-        if kind == "not_null":
-            nn.setdefault(table, []).append(column)
-        elif kind == "unique":
-            parts.append(unique_test(tables[table], table, column))
-        elif kind == "relationships":
-            parts.append(relationships_test(tables[table], table, column, tables[t[3]], t[4]))
-        else:
-            raise ValueError(f"unknown test {kind!r}")
-    for table, cols in nn.items():
+        if t[2] == "not_null":
+            nulls.setdefault(t[0], []).append(t[1])
+    parts = []
+    for keys in _families(tests):
+        once = [t for t, _ in keys]
+        # the NULLs of a table are summed in its first pass; not where it stands with two keys
+        here = {t: nulls.pop(t) for t in dict(keys) if t in nulls and once.count(t) == 1}
+        parts.append(_keyed_pass(tables, keys, tests, here))
+    for table, cols in nulls.items():
         parts.append(not_null_tests(tables[table], table, cols))
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("status", F.when(F.col("failures") > 0, "warn").otherwise("pass"))
