@@ -43,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.llm import scan
 from marquee.llm.common import drop_table, iter_groups, materialise, ship
@@ -368,37 +369,54 @@ def merged(spans: list | None) -> list[tuple[int, int]]:
     return out
 
 
-def _apply(batches, kept_text: bool, words: int = 0) -> Iterator[pa.RecordBatch]:
+def _cut(text: bytes | None, spans: list[tuple[int, int]]) -> bytes:
+    edges = [0, *(x for ab in spans for x in ab), len(text or b"")]
+    return b"".join((text or b"")[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
+
+
+def _text(rest: bytes, text: bytes | None) -> str | None:
+    """A cut inside a code point leaves bytes that are no text."""
+    return rest.decode("utf-8", "ignore") if text is not None else None
+
+
+def _apply(batches, words: int, apart: bool) -> Iterator[pa.RecordBatch]:
+    """``RESULTS`` of each row; ``apart``: figures and hash without the word spans."""
     for big in batches:
         for at in range(0, big.num_rows, 1000):
             b = big.slice(at, 1000)
-            others = [(f.name, b.column(i)) for i, f in enumerate(b.schema) if f.name not in ("text", *SPANS)]
-            texts = b.column(b.schema.get_field_index("text")).cast(pa.large_binary()).to_pylist()
-            size, removed, runs, out = [], [], [], []
-            spans, coded = (b.column(b.schema.get_field_index(c)).to_pylist() for c in SPANS)
-            for t, s, c in zip(texts, spans, coded):
-                cut = merged([*(s or ()), *(_bytes_of(t, c, words) if c else ())])
-                edges = [0, *(x for ab in cut for x in ab), len(t or b"")]
-                rest = b"".join((t or b"")[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
-                size.append(len(t or b""))
-                removed.append(sum(y - x for x, y in cut))
-                runs.append(len(cut))
-                # a cut inside a code point leaves bytes that are no text
-                out.append((rest.decode("utf-8", "ignore") if t is not None else None)
-                           if kept_text else hashlib.sha256(rest).hexdigest())
+            row, text, spans, coded = (b.column(b.schema.get_field_index(c)) for c in ("row", "text", *SPANS))
+            out: list[list] = [[] for _ in RESULTS]
+            for t, s, c in zip(text.cast(pa.large_binary()).to_pylist(), spans.to_pylist(), coded.to_pylist()):
+                every = merged([*(s or ()), *(_bytes_of(t, c, words) if c else ())])
+                own = merged(s) if apart else every
+                rest = _cut(t, own)
+                kept = _text(rest, t)
+                for x, v in zip(out, (len(t or b""), sum(y - x for x, y in own), len(own), hashlib.sha256(rest).hexdigest(),
+                                      kept, kept if own == every else _text(_cut(t, every), t))):
+                    x.append(v)
             yield pa.RecordBatch.from_arrays(
-                [v for _, v in others] + [pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
-                                          pa.array(runs, pa.int64()), pa.array(out, pa.string())],
-                [c for c, _ in others] + ["_n_bytes", "_n_removed", "_n_spans", "_kept"])
+                [row, *(pa.array(v, pa.int64() if kind == "long" else pa.string()) for v, kind in zip(out, RESULTS.values()))],
+                ["row", *RESULTS])
+
+
+RESULTS = {"n_bytes": "long", "n_removed": "long", "n_spans": "long", "sha256": "string", "kept": "string",
+           "kept_words": "string"}
 
 
 def suffix_dedup(docs: DataFrame, length: int = 400, kept_text: bool = True, max_contexts: int = 4096,
-                 words: int = 0) -> DataFrame:
+                 words: int = 0, apart: bool = False, mark: str = "_") -> DataFrame:
     """docs with ``text`` replaced by _n_bytes, _n_removed, _n_spans and
     _kept: the remaining text, or its sha256 if ``kept_text`` is false.
 
     With ``words``, repeated strings of so many words go besides those of
-    ``length`` bytes."""
+    ``length`` bytes.  ``apart`` keeps the two rules apart: the figures,
+    _sha256 and _kept are those of the byte rule, and _kept_words is the text
+    that both rules leave.
+
+    ``doc_id`` is a long.  Rows of equal id and text are copies and lose the
+    same ranges; an empty table gives an empty one.  Columns of ``docs`` may
+    have any names but those that ``mark`` gives the results.
+    """
     if words:
         ship(docs.sparkSession)
         found = _ranges(_identified(docs, "text").filter(F.octet_length("text") >= length), length, max_contexts)
@@ -407,10 +425,15 @@ def suffix_dedup(docs: DataFrame, length: int = 400, kept_text: bool = True, max
         spans = repeated_ranges(docs, length, max_contexts).withColumn("word_spans", F.lit(None).cast(
             "array<struct<start:long,end:long>>"))
     spans = spans.select("rid", "th", F.col("spans").alias("_spans"), F.col("word_spans").alias("_word_spans"))
-    others = [c for c in docs.columns if c not in ("text", "doc_id")]
-    joined = _identified(docs, "doc_id", "text", *others).join(
-        spans, ["rid", "th"], "left").drop("rid", "th")
-    kept = [f for f in joined.schema if f.name not in ("text", *SPANS)]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept),
-                        "_n_bytes long, _n_removed long, _n_spans long, _kept string"])
-    return joined.mapInArrow(lambda it: _apply(it, kept_text, words), schema)
+    # the other columns travel as one, so that their names meet none of these
+    row = F.struct(*[c for c in docs.columns if c != "text"])
+    joined = _identified(docs, "text", row.alias("row")).join(spans, ["rid", "th"], "left").drop("rid", "th")
+    schema = T.StructType([joined.schema["row"], *(
+        T.StructField(c, T.LongType() if kind == "long" else T.StringType()) for c, kind in RESULTS.items())])
+    out = joined.mapInArrow(lambda it: _apply(it, words, apart), schema)
+    named = [F.col(c).alias(f"{mark}{c}") for c in ("n_bytes", "n_removed", "n_spans")]
+    if apart:
+        named += [F.col(c).alias(f"{mark}{c}") for c in ("sha256", "kept", "kept_words")]
+    else:
+        named.append(F.col("kept" if kept_text else "sha256").alias(f"{mark}kept"))
+    return out.select("row.*", *named)

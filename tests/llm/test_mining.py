@@ -259,3 +259,50 @@ def test_spelling_words_of_odd_rows(spark):
     got = {r.word: r.n for r in spelling.word_counts(clash).collect()}
     assert got == _brute_words(rows)
     assert spelling.spelling_variants(spelling.word_counts(_docs(spark, []))).collect() == []
+
+
+# ------------------------------------------------- clashing names, equal rows
+CLASH = ("rid", "th", "_spans", "_word_spans", "_kept", "_n_removed", "row", "_key0", "_key1", "_key2", "ids", "group", "key", "bucket")
+
+
+def test_stages_keep_columns_of_any_name(spark, sf_dir):
+    import corpus_pipeline as P
+    from pyspark.sql import functions as F
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    more = docs.select("*", *(F.concat(F.lit(f"{c}-"), "doc_id").alias(c) for c in CLASH))
+    for name, stage in P.STAGES[:4]:
+        want = {r.doc_id: r.text for r in stage(spark, docs, sf_dir).collect()}
+        got = stage(spark, more, sf_dir).collect()
+        assert {r.doc_id: r.text for r in got} == want, name
+        assert all(r[c] == f"{c}-{r.doc_id}" for r in got for c in CLASH) and list(got[0].asDict()) == more.columns, name
+
+
+def test_ranges_of_equal_rows_are_bounded_by_the_text(spark):
+    from pyspark.sql import functions as F
+    from marquee.llm import suffix_dedup
+    text = " ".join(str(i * 7919 % 10007) for i in range(150))
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    spans = suffix_dedup.repeated_ranges(docs, 400)
+    assert spans.select(F.max(F.size("spans"))).first()[0] <= len(text)
+    out = suffix_dedup.suffix_dedup(docs, 400).select("_n_removed", "_kept").distinct().collect()
+    assert [tuple(r) for r in out] == [(len(text), "")]
+
+
+def test_dedup_rules_kept_apart(spark):
+    from marquee.llm import suffix_dedup
+    rnd = random.Random(2)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+    long, short = words(100), words(55)          # 499 and 274 bytes
+    rows = [(1, f"{words(20)} {long} {words(9)}"), (2, f"{words(8)} {long}"), (3, f"{words(30)} {short} {words(5)}"),
+            (4, f"{short} {words(12)}"), (5, words(60)), (6, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    alone = {r.doc_id: r for r in suffix_dedup.suffix_dedup(docs, 400, kept_text=False).collect()}
+    both = {r.doc_id: r for r in suffix_dedup.suffix_dedup(docs, 400, words=51).collect()}
+    for r in suffix_dedup.suffix_dedup(docs, 400, words=51, apart=True).collect():
+        a = alone[r.doc_id]
+        assert (r._n_bytes, r._n_removed, r._n_spans, r._sha256) == (a._n_bytes, a._n_removed, a._n_spans, a._kept)
+        assert r._kept_words == both[r.doc_id]._kept
+        if r._kept is not None:
+            assert hashlib.sha256(r._kept.encode()).hexdigest() == r._sha256
+        assert (long in (r._kept or "")) is False and (short in (r._kept_words or "")) is False
+        assert (short in (r._kept or "")) == (r.doc_id in (3, 4))
