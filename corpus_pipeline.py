@@ -26,21 +26,24 @@ KEY = ("_key0", "_key1", "_key2")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """What the operators read, the key, and the whole row as one column: columns
+    of ``docs`` may have any names."""
     others = [F.col(c) for c in docs.columns if c != "text"]
-    return docs.withColumns(dict(zip(KEY, (
-        F.xxhash64(F.to_json(F.struct(*others), {"ignoreNullFields": "false"})),
-        F.xxhash64("text"), F.xxhash64(F.lit(1), "text")))))
+    return docs.select("doc_id", "text", *(["lang"] if "lang" in docs.columns else []), F.struct(*docs.columns).alias("row"),
+                       *(e.alias(k) for k, e in zip(KEY, (
+                           F.xxhash64(F.to_json(F.struct(*others), {"ignoreNullFields": "false"})),
+                           F.xxhash64("text"), F.xxhash64(F.lit(1), "text")))))
 
 
 def _drop(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose key is not in ``keys``."""
-    return _keyed(docs).join(keys.select(*KEY).distinct(), list(KEY), "left_anti").select(*docs.columns)
+    return _keyed(docs).join(keys.select(*KEY).distinct(), list(KEY), "left_anti").select("row.*")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules (4): documents that a rule rejects go."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    verdict = rules.quality_rules(_keyed(docs), labels, passed=KEY)
+    verdict = rules.quality_rules(_keyed(docs).drop("row"), labels, passed=KEY)
     return _drop(docs, verdict.filter("not kept"))
 
 
@@ -48,7 +51,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """N-gram Jaccard join (1): one row of each group stays, that with the
     smallest doc_id (null last); rows without words are no group."""
     groups = materialise(jaccard.ngram_jaccard_components(
-        _keyed(docs), k=SHINGLE_WORDS, pct=SIMILARITY_PCT, passed=KEY).filter("`group` is not null"), "pipeline-groups")
+        _keyed(docs).drop("row"), k=SHINGLE_WORDS, pct=SIMILARITY_PCT, passed=KEY).filter("`group` is not null"), "pipeline-groups")
     first = materialise(groups.groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *KEY)).alias("first"), F.count("*").alias("n"))
         .filter("n > 1").select("group", F.struct(*(f"first.{c}" for c in KEY)).alias("first")), "pipeline-first")
@@ -57,16 +60,19 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         F.max(F.struct(*KEY) == F.col("first")).alias("stays"), F.count("*").alias("copies"))
         .filter("copies > 1 or not stays"), "pipeline-marked")
     once = _keyed(docs).join(marked.filter("stays").select(*KEY), list(KEY), "left_semi").dropDuplicates(list(KEY))
-    return _drop(docs, marked).unionByName(once.select(*docs.columns))
+    return _drop(docs, marked).unionByName(once.select("row.*"))
 
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup (8): repeated byte and word strings are cut out of the texts."""
     cols = docs.columns
-    out = suffix_dedup.suffix_dedup(docs, REPEAT_BYTES, words=REPEAT_WORDS)
-    cut = out.withColumn("text", F.col("_kept"))
+    mark = "_"
+    while any(c.startswith(mark) for c in cols):
+        mark += "_"
+    out = suffix_dedup.suffix_dedup(docs, REPEAT_BYTES, words=REPEAT_WORDS, mark=mark)
+    cut = out.withColumn("text", F.col(f"{mark}kept"))
     if "n_chars" in cols:
-        cut = cut.withColumn("n_chars", F.when(F.col("_n_removed") > 0, F.length("text").cast(
+        cut = cut.withColumn("n_chars", F.when(F.col(f"{mark}n_removed") > 0, F.length("text").cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return cut.select(*cols)
 
