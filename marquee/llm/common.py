@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 
@@ -48,6 +49,13 @@ def drop_table(spark: SparkSession, df: DataFrame) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished jobs: Spark deletes them when the
+    driver has collected the plans that wrote them, which else may take long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def iter_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Yield one table per run of equal ``key`` values in sorted batches."""
     import numpy as np

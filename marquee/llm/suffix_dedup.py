@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm import scan
-from marquee.llm.common import drop_table, iter_groups, materialise, ship
+from marquee.llm.common import drop_table, free_shuffles, iter_groups, materialise, ship
 
 GRAM = 32
 #: bytes that stand for a word where strings of words are looked for
@@ -304,6 +304,9 @@ def _written(spans: DataFrame, tables: list[DataFrame]) -> DataFrame:
     out = materialise(spans, "suffix-spans")
     for t in tables:
         drop_table(t.sparkSession, t)
+    del spans
+    tables.clear()
+    free_shuffles(out.sparkSession)
     return out
 
 
@@ -419,8 +422,8 @@ def suffix_dedup(docs: DataFrame, length: int = 400, kept_text: bool = True, max
     """
     if words:
         ship(docs.sparkSession)
-        found = _ranges(_identified(docs, "text").filter(F.octet_length("text") >= length), length, max_contexts)
-        spans = _written(*found).join(repeated_words(docs, words, max_contexts), ["rid", "th"], "full")
+        # no name is left for the first pass's plan, so that its shuffle files can go before the second
+        spans = _written(*_ranges(_identified(docs, "text").filter(F.octet_length("text") >= length), length, max_contexts)).join(repeated_words(docs, words, max_contexts), ["rid", "th"], "full")
     else:
         spans = repeated_ranges(docs, length, max_contexts).withColumn("word_spans", F.lit(None).cast(
             "array<struct<start:long,end:long>>"))
