@@ -328,6 +328,7 @@ def _ranges(base: DataFrame, length: int, max_contexts: int, coded: bool = False
            # rows with equal ids and texts give the same contexts
            .dropDuplicates(["bucket", "ctx"]))
     cut = materialise(cut.join(many, "bucket"), "suffix-cut")
+    free_shuffles(base.sparkSession)
     found = (cut.filter(F.col("contexts") <= max_contexts).drop("contexts")
              .repartition("bucket").sortWithinPartitions("bucket")
              .mapInArrow(lambda it: _sort_blocks(it, length), "bucket long, ctx long, f0 int, f1 int"))
