@@ -14,7 +14,7 @@ def test_refresh_then_build(spark, tmp_out):
     sources = {n: tsv.write_tsv(bindings.raw_bronze(spark, SF001, n), os.path.join(landing, n))
                for n in bindings.BOUND_TABLES}
     rep = refresh_bronze(spark, sources, os.path.join(tmp_out, "bronze"))
-    assert rep.filter("ok").count() == 5
+    assert rep.filter("ok").count() == len(bindings.BOUND_TABLES) == 7
     m = models_from_tables(spark, os.path.join(tmp_out, "bronze"), Params(as_of=FIXED_AS_OF))
     out = build(m, os.path.join(tmp_out, "silver"))
     assert set(out) == {"movies", "dim_directors", "dim_actors"}
