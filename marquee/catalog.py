@@ -19,6 +19,7 @@ from marquee.functions.scalar import (ACTOR_STAGE, DIRECTOR_STAGE, PERSON_TIER,
                                       RATING_CATEGORY, ROLE_TYPE, age, band, decode_gender,
                                       safe_int)
 from marquee.operators import quality
+from marquee.operators.skew import hot_keys
 from marquee.operators.person_stats import career_stats, person_movie_rows
 from marquee.operators.unnest import unnest, unnest_fields, unnest_with_pos
 from marquee.plans import marts, questions, staging, usage
@@ -255,6 +256,20 @@ def join_actor_person_left(spark, sf_dir):
                     F.col("actor_name").isNotNull().alias("has_person"))
 
 
+HOT_PERSON = "nm0000002"
+
+
+@query
+def join_hot_person(spark, sf_dir):
+    """Acting credits, half of them of one person, joined to people with salt."""
+    hot = F.floor(F.col("ordering") / 16) % 2 == 0
+    credits = bindings.bronze(spark, sf_dir, "title_principals").withColumn(
+        "nconst", F.when(hot, F.lit(HOT_PERSON)).otherwise(F.col("nconst")))
+    found = hot_keys(staging.acting_credits(credits), "actor_id", share=0.1)
+    a = staging.stg_actor(credits, _m(spark, sf_dir).stg_person, hot_people=found)
+    return a.select("movie_id", "ordering", "actor_id", "actor_name", "birth_year")
+
+
 @query
 def unnest_directors(spark, sf_dir):
     m = _mart(spark, sf_dir, "movies")
@@ -296,6 +311,15 @@ def nest_directors(spark, sf_dir):
                     F.col("d.id").alias("director_id"), F.col("d.name").alias("director_name")))
 
 
+@query
+def nest_directors_runs(spark, sf_dir):
+    """Directors arrays of titles with more than two directors, built from runs of two."""
+    d = marts.directors_agg(_m(spark, sf_dir).stg_crew, run_rows=2)
+    return (unnest_with_pos(d, "directors", "d", keep=["movie_id"])
+            .select("movie_id", F.col("pos").cast("bigint").alias("pos"),
+                    F.col("d.id").alias("director_id"), F.col("d.name").alias("director_name")))
+
+
 @query
 def nest_topk_actors(spark, sf_dir):
     a = marts.actors_agg(_m(spark, sf_dir).stg_actor)
@@ -629,6 +653,15 @@ def sink_csv_roundtrip(spark, sf_dir):
     return sinks.read_csv(spark, path, top.schema)
 
 
+@query
+def sink_csv_ordered(spark, sf_dir):
+    """The flat fact by votes, written as eight CSV files in one order and read back with places."""
+    m = _mart(spark, sf_dir, "movies").select("movie_id", "num_votes", "average_rating")
+    path = sinks.export_csv_ordered(m, scratch_path(spark, "movies_csv"),
+                                    [F.desc("num_votes"), F.asc("movie_id")], num_files=8)
+    return sinks.read_csv_ordered(spark, path, m.schema).drop("file")
+
+
 # ---------------------------------------------------------------- usage (K1-K5)
 def _records(spark, sf_dir):
     return usage.usage_records(read_driver(spark, sf_dir, "conversations"))
@@ -677,9 +710,55 @@ def usage_history_stream(spark, sf_dir):
 @query
 def usage_model_counts_stream(spark, sf_dir):
     """Per-model counter kept as streaming state over the landed records."""
-    from marquee.streaming import stream_model_counts
+    from marquee.streaming import read_published, stream_model_counts
     landing = scratch_path(spark, "usage-landing")
     counts = scratch_path(spark, "usage-counts")
     _records(spark, sf_dir).write.mode("append").parquet(landing)
     stream_model_counts(spark, landing, counts)
-    return spark.read.parquet(counts)
+    return read_published(spark, counts)
+
+
+def _questions(spark, sf_dir):
+    return usage.question_records(bindings.usage_log(spark, sf_dir))
+
+
+def _plain_time(records):
+    return records.select("conv_id", "question_no", F.unix_micros("timestamp").alias("asked_us"), "question",
+                          "model", "input_tokens", "output_tokens", "sql_executed")
+
+
+@query
+def usage_questions(spark, sf_dir):
+    """One usage record per question."""
+    return _plain_time(_questions(spark, sf_dir))
+
+
+@query
+def usage_question_summary(spark, sf_dir):
+    """Sessions from question records alone: questions, tokens, time and uses of each model."""
+    return usage.question_summary(_questions(spark, sf_dir))
+
+
+@query
+def usage_question_history(spark, sf_dir):
+    """Question records landed in two drops, appended by the stream."""
+    from marquee.streaming import QUESTION_RECORD_SCHEMA, stream_history
+    records = _questions(spark, sf_dir)
+    landing, history, ckpt = (scratch_path(spark, f"question-{x}") for x in ("landing", "history", "ckpt"))
+    for part in (0, 1):
+        records.filter(F.col("question_no") % 2 == part).write.mode("append").parquet(landing)
+        stream_history(spark, landing, history, ckpt, schema=QUESTION_RECORD_SCHEMA)
+    return _plain_time(spark.read.schema(QUESTION_RECORD_SCHEMA).parquet(history))
+
+
+@query
+def usage_published_counts(spark, sf_dir):
+    """Uses of each model, published per batch of two drops, then pruned to the last version."""
+    from marquee.streaming import QUESTION_RECORD_SCHEMA, prune_versions, read_published, stream_model_counts
+    records = _questions(spark, sf_dir)
+    landing, counts, ckpt = (scratch_path(spark, f"question-{x}") for x in ("landing", "counts", "counts-ckpt"))
+    for part in (0, 1):
+        records.filter(F.col("question_no") % 2 == part).write.mode("append").parquet(landing)
+        stream_model_counts(spark, landing, counts, ckpt, schema=QUESTION_RECORD_SCHEMA)
+    prune_versions(spark, counts, keep=1)
+    return read_published(spark, counts)

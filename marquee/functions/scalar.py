@@ -97,22 +97,29 @@ def token_estimate(text) -> Column:
 def human_count(n) -> Column:
     """Integer count for display: >1e6 -> 'x.xxM', >1e3 -> 'x.xK', else as is.
 
-    Rounded half up on the exact decimal value with integer arithmetic so
-    that every engine prints the same text.
+    The digits are those of the quotient as a binary double, rounded to even
+    at an exact half, as number formatting in most languages prints them:
+    1250 -> 1.2K (1.25 is exact), 1450 -> 1.4K (1.45 lies below the half).
+    The quotient is at least 1, so its fraction is a whole multiple of 2**-52
+    and all arithmetic after the division is exact on integers.
     """
     from marquee.functions.numeric import int_div
 
     n = _c(n).cast("bigint")
-
-    def fixed(q, digits):
-        # q = value scaled by 10**digits, already rounded
-        scale = F.lit(10 ** digits)
-        whole = int_div(q, scale).cast("string")
-        frac = F.lpad(F.pmod(q, scale).cast("string"), digits, "0")
-        return F.concat(whole, F.lit("."), frac)
-
-    millions = fixed(int_div(n + 5000, F.lit(10000)), 2)
-    thousands = fixed(int_div(n + 50, F.lit(100)), 1)
-    return (F.when(n > 1_000_000, F.concat(millions, F.lit("M")))
-             .when(n > 1_000, F.concat(thousands, F.lit("K")))
+    one = F.lit(1 << 52)
+
+    def fixed(unit: int, digits: int) -> Column:
+        scale = 10 ** digits
+        d = n.cast("double") / F.lit(float(unit))
+        whole = F.floor(d)
+        scaled = ((d - whole.cast("double")) * F.lit(float(1 << 52))).cast("bigint") * F.lit(scale)
+        q, left = int_div(scaled, one), F.pmod(scaled, one)
+        half = F.lit(1 << 51)
+        up = (left > half) | ((left == half) & (F.pmod(q, F.lit(2)) == 1))
+        total = whole * F.lit(scale) + q + F.when(up, 1).otherwise(0)
+        return F.concat(int_div(total, F.lit(scale)).cast("string"), F.lit("."),
+                        F.lpad(F.pmod(total, F.lit(scale)).cast("string"), digits, "0"))
+
+    return (F.when(n > 1_000_000, F.concat(fixed(1_000_000, 2), F.lit("M")))
+             .when(n > 1_000, F.concat(fixed(1_000, 1), F.lit("K")))
              .otherwise(n.cast("string")))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from marquee.functions.scalar import (ACTOR_STAGE, DIRECTOR_STAGE, PERSON_TIER,
                                       RATING_CATEGORY, ROLE_TYPE, age, band)
-from marquee.operators.nest import nest_ordered, nest_topk
+from marquee.operators.nest import nest_in_runs, nest_ordered, nest_topk
 from marquee.operators.person_stats import career_stats, person_movie_rows
 from marquee.operators.unnest import unnest_with_pos
 
@@ -33,13 +33,14 @@ MOVIE_FLAT_COLS = ("movie_id", "title", "original_title", "runtime_minutes", "re
                    "director_count", "actor_count")
 
 
-def directors_agg(stg_crew: DataFrame) -> DataFrame:
+def directors_agg(stg_crew: DataFrame, run_rows: int | None = None) -> DataFrame:
+    """Directors of a title by name.  ``run_rows``: titles with more directors are built from runs."""
     named = stg_crew.filter(F.col("director_name").isNotNull() & F.col("director_id").isNotNull())
-    return nest_ordered(
-        named, "movie_id", ["director_name", "director_id"],
-        [F.col("director_id").alias("id"), F.col("director_name").alias("name"),
-         F.col("birth_year"), F.col("death_year")],
-        "directors")
+    spec = (named, "movie_id", ["director_name", "director_id"],
+            [F.col("director_id").alias("id"), F.col("director_name").alias("name"),
+             F.col("birth_year"), F.col("death_year")],
+            "directors")
+    return nest_in_runs(*spec, run_rows) if run_rows else nest_ordered(*spec)
 
 
 def actors_agg(stg_actor: DataFrame, k: int = TOP_ACTORS) -> DataFrame:

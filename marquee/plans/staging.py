@@ -7,10 +7,13 @@ them into the Parquet reader.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.scalar import decode_gender, safe_int, trim_ws
+from marquee.operators.skew import salted_left_join
 from marquee.schemas import SOURCE_NULL
 
 MIN_YEAR = 1950
@@ -76,18 +79,26 @@ def _only_titles(df: DataFrame, id_col: str, movie_ids: DataFrame | None) -> Dat
     return df.join(ids, F.col(id_col) == F.col("_keep_id"), "left_semi")
 
 
+def _with_person(credits: DataFrame, person: DataFrame, id_col: str, spread: list[str],
+                 hot_people: Sequence[str]) -> DataFrame:
+    """Credits left-joined to people; ``hot_people`` are spread over several tasks."""
+    if hot_people:
+        return salted_left_join(credits, person, id_col, "person_id", hot_people, spread)
+    return credits.join(person, F.col(id_col) == F.col("person_id"), "left")
+
+
 def stg_crew(title_crew: DataFrame, person: DataFrame,
-             movie_ids: DataFrame | None = None) -> DataFrame:
+             movie_ids: DataFrame | None = None, hot_people: Sequence[str] = ()) -> DataFrame:
     """Director credits enriched with person data (left join keeps orphans).
 
     ``movie_ids`` restricts the crew to those titles *before* the person
     join, so the join and every later shuffle only carry credits that can
-    reach the fact table.
+    reach the fact table.  ``hot_people`` are joined with salt.
     """
     p = person.select("person_id", F.col("name").alias("director_name"),
                       "birth_year", "death_year", "profession")
-    return (_only_titles(exploded_directors(title_crew), "movie_id", movie_ids)
-            .join(p, F.col("director_id") == F.col("person_id"), "left")
+    return (_with_person(_only_titles(exploded_directors(title_crew), "movie_id", movie_ids),
+                         p, "director_id", ["movie_id"], hot_people)
             .select("movie_id", "director_id", "director_name", "birth_year",
                     "death_year", "profession"))
 
@@ -101,18 +112,19 @@ def acting_credits(title_principals: DataFrame) -> DataFrame:
 
 
 def stg_actor(title_principals: DataFrame, person: DataFrame,
-              movie_ids: DataFrame | None = None) -> DataFrame:
+              movie_ids: DataFrame | None = None, hot_people: Sequence[str] = ()) -> DataFrame:
     """Acting credits with gender decoded and person data (left join).
 
     ``movie_ids`` restricts the credits to those titles before the person
     join (see :func:`stg_crew`); the last shuffle before the per-title top-k
     is then the one on the person id, so the top-k's partial limit runs
-    before the shuffle on the title id.
+    before the shuffle on the title id.  ``hot_people`` (see
+    :func:`marquee.operators.skew.hot_keys`) are joined with salt.
     """
     p = person.select("person_id", F.col("name").alias("actor_name"),
                       "birth_year", "death_year", "profession")
-    return (_only_titles(acting_credits(title_principals), "movie_id", movie_ids)
-            .join(p, F.col("actor_id") == F.col("person_id"), "left")
+    return (_with_person(_only_titles(acting_credits(title_principals), "movie_id", movie_ids),
+                         p, "actor_id", ["movie_id", "ordering"], hot_people)
             .select("movie_id", "ordering", "actor_id", "actor_name", "category",
                     decode_gender("category").alias("gender"), "characters",
                     "birth_year", "death_year", "profession"))

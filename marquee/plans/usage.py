@@ -8,7 +8,7 @@ input, assistant text is output, tokens are estimated as characters // 4.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.numeric import int_div
@@ -30,6 +30,52 @@ def usage_records(conversations: DataFrame) -> DataFrame:
     )
 
 
+def question_records(log: DataFrame) -> DataFrame:
+    """One usage record per question of a log (conv_id, turn, role, text, ts, model, sql).
+
+    A question is a user turn with the turns up to the next one; turns before
+    the first question (instructions) count as input of the first.  The record
+    has the question's time and text, the model asked, the estimated tokens
+    of its input and output turns, and whether an answer executed SQL (an
+    output turn with ``sql``).  Conversations without a question give none.
+    """
+    est = token_estimate("text")
+    asked = F.col("role") == "user"
+    by_turn = Window.partitionBy("conv_id").orderBy("turn")
+    numbered = log.withColumn("question_no", F.greatest(F.count_if(asked).over(by_turn), F.lit(1)).cast("bigint"))
+
+    def tokens(roles):
+        return F.coalesce(F.sum(F.when(F.col("role").isin(*roles), est)), F.lit(0)).cast("bigint")
+
+    return (numbered.groupBy("conv_id", "question_no")
+            .agg(F.max(F.when(asked, F.col("ts"))).alias("timestamp"),
+                 F.max(F.when(asked, F.col("text"))).alias("question"),
+                 F.max(F.when(asked, F.col("model"))).alias("model"),
+                 tokens(INPUT_ROLES).alias("input_tokens"), tokens(OUTPUT_ROLES).alias("output_tokens"),
+                 F.coalesce(F.bool_or(F.col("role").isin(*OUTPUT_ROLES) & F.col("sql").isNotNull()), F.lit(False))
+                  .alias("sql_executed"),
+                 F.count_if(asked).alias("_asked"))
+            .filter("_asked > 0").drop("_asked"))
+
+
+def question_summary(records: DataFrame) -> DataFrame:
+    """Per session, from question records alone: questions, tokens, questions that
+    executed SQL, minutes from the first to the last, and uses of each model
+    (``model=uses`` by model, comma-joined)."""
+    per_model = records.groupBy("conv_id", "model").agg(
+        F.count(F.lit(1)).alias("uses"), F.sum("input_tokens").alias("i"), F.sum("output_tokens").alias("o"),
+        F.count_if("sql_executed").alias("q"), F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"))
+    use = F.concat_ws("=", F.coalesce("model", F.lit("")), F.col("uses").cast("string"))
+    tenths = int_div((F.unix_micros(F.max("t1")) - F.unix_micros(F.min("t0"))) * 2 + F.lit(6_000_000), F.lit(12_000_000))
+    return per_model.groupBy("conv_id").agg(
+        F.sum("uses").cast("bigint").alias("total_questions"),
+        F.sum(F.col("i") + F.col("o")).cast("bigint").alias("total_tokens"),
+        F.sum("i").cast("bigint").alias("input_tokens"), F.sum("o").cast("bigint").alias("output_tokens"),
+        F.sum("q").cast("bigint").alias("sql_questions"),
+        (tenths / F.lit(10.0)).alias("session_duration_minutes"),
+        F.array_join(F.array_sort(F.collect_list(use)), ",").alias("model_usage"))
+
+
 def session_summary(records: DataFrame) -> DataFrame:
     """Per session: questions asked and input / output / total tokens."""
     return (records.groupBy("conv_id")

@@ -185,6 +185,18 @@ BINDERS = {
 }
 
 
+def usage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations with what the test table lacks: a time of each turn, the model
+    asked, and the SQL an answer executed (all computed from the row)."""
+    c = read_driver(spark, sf_dir, "conversations")
+    conv, turn = F.col("conv_id"), F.col("turn")
+    us = F.lit(1_704_067_200_000_000) + conv * 3_600_000_000 + turn * 37_000_000
+    model = F.element_at(F.array(*[F.lit(m) for m in ("model-a", "model-b", "model-c")]),
+                         F.pmod(conv + F.floor(turn / 2), F.lit(3)).cast("int") + 1)
+    return c.select("conv_id", "turn", "role", "text", F.timestamp_micros(us).alias("ts"), model.alias("model"),
+                    F.when((F.col("role") == "assistant") & (F.length("text") % 3 == 0), "SELECT 1").alias("sql"))
+
+
 def raw_bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Bronze-shaped raw text table bound from the driver tables."""
     return BINDERS[name](spark, sf_dir)

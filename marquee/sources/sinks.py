@@ -3,7 +3,7 @@ its pruned scan, and CSV export."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 COMPRESSIONS = ("snappy", "gzip", "zstd", "lz4", "none", "uncompressed")
@@ -100,5 +100,40 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
     return path
 
 
+def export_csv_ordered(df: DataFrame, path: str, order, num_files: int | None = None) -> str:
+    """CSV in one global order over many files, each with a header row.
+
+    Rows are range-partitioned by ``order`` and sorted within their file, so
+    the files' names (``part-00000-...``, ``part-00001-...``) follow the order
+    and every file is written by a task of its own.  Without ``num_files``
+    adaptive execution sizes the files.  Rows equal in ``order`` stay together.
+    """
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
+    ranged = (df.repartitionByRange(num_files, *order) if num_files else df.repartitionByRange(*order))
+    ranged.sortWithinPartitions(*order).write.mode("overwrite").option("header", True).csv(path)
+    return path
+
+
+def read_csv_ordered(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Read a CSV export with ``file`` (its name) and ``row_no``, the place (from 1) over all files.
+
+    Places within a file are a window over that file; files are added up by
+    a prefix sum over one row per file.
+    """
+    rows = (read_csv(spark, path, schema)
+            .select("*", F.col("_metadata.file_name").alias("file"),
+                    F.col("_metadata.file_block_start").alias("_block"))
+            .withColumn("_id", F.monotonically_increasing_id()))
+    in_file = Window.partitionBy("file").orderBy("_block", "_id")
+    placed = rows.withColumn("_in", F.row_number().over(in_file))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    # the counts need no place: they come from a scan without the rows' columns
+    files = (read_csv(spark, path, schema).select(F.col("_metadata.file_name").alias("file"))
+             .groupBy("file").agg(F.count(F.lit(1)).alias("_n"))
+             .select("file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    return placed.join(files, "file").withColumn("row_no", F.col("_before") + F.col("_in")) \
+        .drop("_block", "_id", "_in", "_before")
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).csv(path)

@@ -8,4 +8,6 @@ checkpoint directory, so a restarted job resumes where it stopped.
 """
 
 from marquee.streaming.history import (  # noqa: F401
-    USAGE_RECORD_SCHEMA, stream_history, stream_model_counts)
+    QUESTION_RECORD_SCHEMA, USAGE_RECORD_SCHEMA, stream_history, stream_model_counts)
+from marquee.streaming.publish import (  # noqa: F401
+    prune_versions, publish, read_published, versions)

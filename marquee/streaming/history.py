@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from marquee.session import scratch_path
+from marquee.streaming.publish import publish
 
 USAGE_RECORD_SCHEMA = T.StructType([
     T.StructField("conv_id", T.LongType()),
@@ -16,9 +17,22 @@ USAGE_RECORD_SCHEMA = T.StructType([
     T.StructField("output_tokens", T.LongType()),
 ])
 
+#: one record per question (see ``usage.question_records``)
+QUESTION_RECORD_SCHEMA = T.StructType([
+    T.StructField("conv_id", T.LongType()),
+    T.StructField("question_no", T.LongType()),
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("question", T.StringType()),
+    T.StructField("model", T.StringType()),
+    T.StructField("input_tokens", T.LongType()),
+    T.StructField("output_tokens", T.LongType()),
+    T.StructField("sql_executed", T.BooleanType()),
+])
 
-def _source(spark: SparkSession, landing_dir: str, max_files: int | None) -> DataFrame:
-    r = spark.readStream.schema(USAGE_RECORD_SCHEMA)
+
+def _source(spark: SparkSession, landing_dir: str, max_files: int | None,
+            schema: T.StructType = USAGE_RECORD_SCHEMA) -> DataFrame:
+    r = spark.readStream.schema(schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     return r.parquet(landing_dir)
@@ -26,7 +40,7 @@ def _source(spark: SparkSession, landing_dir: str, max_files: int | None) -> Dat
 
 def stream_history(spark: SparkSession, landing_dir: str, history_dir: str,
                    checkpoint: str | None = None, available_now: bool = True,
-                   max_files: int | None = None):
+                   max_files: int | None = None, schema: T.StructType = USAGE_RECORD_SCHEMA):
     """Append records arriving in ``landing_dir`` to the Parquet ``history_dir``.
 
     The file sink with a checkpoint is exactly-once: a restart neither skips
@@ -34,7 +48,7 @@ def stream_history(spark: SparkSession, landing_dir: str, history_dir: str,
     there and stops; otherwise it keeps running (returned handle).
     """
     checkpoint = checkpoint or scratch_path(spark, "history-checkpoint")
-    w = (_source(spark, landing_dir, max_files).writeStream
+    w = (_source(spark, landing_dir, max_files, schema).writeStream
          .format("parquet").outputMode("append")
          .option("path", history_dir).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
@@ -45,18 +59,18 @@ def stream_history(spark: SparkSession, landing_dir: str, history_dir: str,
 
 
 def stream_model_counts(spark: SparkSession, landing_dir: str, counts_dir: str,
-                        checkpoint: str | None = None, available_now: bool = True):
-    """Keep ``model -> uses`` as streaming state; each micro-batch rewrites the
-    small counts table with the complete, updated totals."""
+                        checkpoint: str | None = None, available_now: bool = True,
+                        schema: T.StructType = USAGE_RECORD_SCHEMA):
+    """Keep ``model -> uses`` as streaming state; each micro-batch publishes the
+    complete totals as the version of its number.  Read them with
+    :func:`~marquee.streaming.publish.read_published`; a batch that is run
+    again changes nothing."""
     checkpoint = checkpoint or scratch_path(spark, "model-counts-checkpoint")
-    counts = _source(spark, landing_dir, None).groupBy("model").count() \
+    counts = _source(spark, landing_dir, None, schema).groupBy("model").count() \
         .withColumnRenamed("count", "uses")
 
-    def publish(batch: DataFrame, epoch: int) -> None:
-        # one row per model: a small result, rewritten atomically per batch
-        batch.write.mode("overwrite").parquet(counts_dir)
-
-    w = (counts.writeStream.outputMode("complete").foreachBatch(publish)
+    w = (counts.writeStream.outputMode("complete")
+         .foreachBatch(lambda batch, epoch: publish(batch, counts_dir, epoch, checkpoint) and None)
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     q = w.start()

@@ -30,8 +30,8 @@ def test_human_count(spark):
     vals = [0, 999, 1000, 1001, 1250, 1049, 999999, 1000000, 1000001, 1234567, 1005000]
     df = spark.createDataFrame([(v,) for v in vals], "n bigint")
     got = [r[0] for r in df.select(human_count("n")).collect()]
-    assert got == ["0", "999", "1000", "1.0K", "1.3K", "1.0K", "1000.0K", "1000.0K",
-                   "1.00M", "1.23M", "1.01M"]
+    assert got == ["0", "999", "1000", "1.0K", "1.2K", "1.0K", "1000.0K", "1000.0K",
+                   "1.00M", "1.23M", "1.00M"]
 
 
 def test_scalars(spark):

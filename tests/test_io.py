@@ -112,3 +112,21 @@ def test_unused_tables_load_as_strings_and_gzip_is_spread(spark, tmp_out):
                        os.path.join(tmp_out, "gz"))
     spread = tsv.read_tsv(spark, gz, "title_ratings", min_partitions=4)
     assert spread.rdd.getNumPartitions() == 4 and spread.count() == 181
+
+
+def test_csv_in_order_over_several_files(spark, tmp_out):
+    from pyspark.sql import functions as F
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("x, y").alias("v"))
+    path = sinks.export_csv_ordered(df, os.path.join(tmp_out, "csv"), F.desc("k"), num_files=6)
+    files = sorted(f for f in os.listdir(path) if f.startswith("part-"))
+    assert len(files) == 6
+    lines = []
+    for f in files:
+        with open(os.path.join(path, f)) as h:
+            head, *body = h.read().splitlines()
+        assert head == "k,v"
+        lines += body
+    assert [int(x.split(",")[0]) for x in lines] == list(range(4999, -1, -1))
+    got = sinks.read_csv_ordered(spark, path, df.schema)
+    assert {(r.k, r.row_no) for r in got.collect()} == {(k, 5000 - k) for k in range(5000)}
+    assert got.select("file").distinct().count() == 6
