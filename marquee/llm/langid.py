@@ -7,8 +7,13 @@ the fewest phrases per character wins.
 
 The training text of a language is a bounded sample: whole documents in the
 order of a hash of their content, as long as they fit into ``train_chars``
-characters, out of the ``train_docs`` first ones.  Both bounds are
-parameters; prediction covers every whole text.
+characters, out of the ``train_docs`` first ones; a language whose documents
+are all longer is learned from the beginning of its first one.  Both bounds
+are parameters; prediction covers every whole text.
+
+Transitions on the ``DENSE`` most frequent letters are a table, those on
+other letters sorted keys that are searched: an automaton of n characters has
+fewer than 3 n transitions, so large alphabets cost no more than small ones.
 
 Letters are compared in lower case; everything else, in runs, is one blank.
 Texts are parsed in segments of ``SEGMENT`` characters side by side (a
@@ -20,6 +25,7 @@ language in alphabetical order, with score 0.
 from __future__ import annotations
 
 import pickle
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +37,7 @@ from marquee.llm.common import ship
 
 SEGMENT = 1024
 LANES = 4096
+DENSE = 64
 
 
 class SuffixAutomaton:
@@ -64,13 +71,12 @@ class SuffixAutomaton:
                 self.link[q] = self.link[cur] = copy
         self.last = cur
 
-    def table(self, symbols: dict[str, int], width: int) -> np.ndarray:
-        """Transitions as an array; 0, the root, where there is none."""
-        t = np.zeros((len(self.next), width), dtype=np.int32)
-        for s, d in enumerate(self.next):
-            for c, to in d.items():
-                t[s, symbols[c]] = to
-        return t
+    def transitions(self, symbols: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(state, symbol, next state) of every transition."""
+        n = sum(map(len, self.next))
+        out = np.fromiter((x for s, d in enumerate(self.next) for c, to in d.items() for x in (s, symbols[c], to)),
+                          dtype=np.int64, count=3 * n).reshape(n, 3)
+        return out[:, 0], out[:, 1], out[:, 2]
 
 
 def normal(text: str) -> str:
@@ -84,27 +90,50 @@ class Model:
     def __init__(self, training: dict[str, str]):
         self.langs = sorted(training)
         texts = {k: normal(v) for k, v in training.items()}
-        letters = sorted(set("".join(texts.values())) - {" "})
-        # 0: a letter seen in no language, 1: blank
+        seen = Counter("".join(texts.values()))
+        letters = sorted(set(seen) - {" "}, key=lambda c: (-seen[c], c))
+        # 0: a letter seen in no language, 1: blank, then letters by frequency
         symbols = {" ": 1} | {c: i + 2 for i, c in enumerate(letters)}
-        self.width = len(symbols) + 1
-        tables, self.root = [], []
+        self.n_symbols = np.int64(len(symbols) + 1)
+        # symbols from the last column on are rare: that column holds nothing
+        self.width = np.int64(min(len(symbols) + 1, DENSE + 2) + 1)
+        rare_keys, rare_to, dense, self.root = [], [], [], []
         at = 0
         for k in self.langs:
             a = SuffixAutomaton()
             for c in texts[k]:
                 a.add(c)
-            t = a.table(symbols, self.width)
-            tables.append(np.where(t > 0, t + at, 0))
+            state, symbol, to = a.transitions(symbols)
+            common = symbol < self.width - 1
+            t = np.zeros((len(a.next), self.width), dtype=np.int32)
+            t[state[common], symbol[common]] = to[common] + at
+            dense.append(t.ravel())
+            rare_keys.append((state[~common] + at) * self.n_symbols + symbol[~common])
+            rare_to.append(to[~common] + at)
             self.root.append(at)
-            at += len(t)
-        # transitions of all languages in one array; 0 stands for none, as no
+            at += len(a.next)
+        # transitions of all languages together; 0 stands for none, as no
         # transition leads to the first language's root
-        self.next = np.concatenate(tables).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
-        self.symbol = np.zeros(0x110000, dtype=np.uint16)
+        self.next = np.concatenate(dense) if dense else np.zeros(0, np.int32)
+        keys = np.concatenate(rare_keys) if rare_keys else np.zeros(0, np.int64)
+        order = np.argsort(keys)
+        # a last key that nothing equals keeps every search inside
+        self.rare_keys = np.append(keys[order], np.iinfo(np.int64).max)
+        self.rare_to = np.append((np.concatenate(rare_to) if rare_to else keys)[order], 0).astype(np.int32)
+        self.symbol = np.zeros(0x110000, dtype=np.int32)
         for c, i in symbols.items():
             self.symbol[ord(c)] = i
 
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """(languages, lanes) states and a symbol per lane -> next states, 0 for none."""
+        to = self.next[state * self.width + np.minimum(symbol, self.width - 1)]
+        rare = np.flatnonzero(symbol >= self.width - 1)
+        if len(rare):
+            keys = np.broadcast_to(state, to.shape)[:, rare] * self.n_symbols + symbol[rare]
+            at = np.searchsorted(self.rare_keys, keys)
+            to[:, rare] = np.where(self.rare_keys[at] == keys, self.rare_to[at], 0)
+        return to
+
     def phrases(self, segments: list[np.ndarray]) -> np.ndarray:
         """(languages, segments): number of phrases of each segment."""
         n = len(segments)
@@ -122,11 +151,11 @@ class Model:
             m = active[t]
             c = text[t, :m]
             s = state[:, :m]
-            to = self.next[s * self.width + c]
+            to = self.step(s, c)
             stuck = to == 0
             # a match ends before this character, and the next one starts with it
             count[:, :m] += stuck & (s != roots)
-            begin = self.next[roots * self.width + c]
+            begin = self.step(roots, c)
             to = np.where(stuck, np.where(begin == 0, roots, begin), to)
             # a character unknown to the language is a phrase of its own
             count[:, :m] += stuck & (begin == 0)
@@ -191,11 +220,14 @@ def train(rows: DataFrame, train_docs: int = 64, train_chars: int = 24_000) -> M
     """rows (text, lang) -> automata; see the module for the sample."""
     known = rows.filter("lang is not null and text is not null").select(
         "lang", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
-    ranked = known.filter(F.col("n").between(1, train_chars)).distinct().selectExpr(
-        "lang", "h", "row_number() over (partition by lang order by h) as r").filter(F.col("r") <= train_docs)
+    # long documents come after all others: one that is first is all its language has
+    long = F.col("n") > train_chars
+    ranked = (known.filter("n > 0").distinct().withColumn("long", long)
+              .selectExpr("lang", "h", "long", "row_number() over (partition by lang order by long, h) as r")
+              .filter((F.col("r") <= train_docs) & (~F.col("long") | (F.col("r") == 1))))
     # at most train_docs rows per language reach the driver, each of bounded size
     picked = rows.filter("lang is not null and text is not null").withColumn("h", F.xxhash64("text")).join(
-        F.broadcast(ranked.select("lang", "h")), ["lang", "h"]).dropDuplicates(["lang", "h"])
+        F.broadcast(ranked.select("lang", "h")), ["lang", "h"]).dropDuplicates(["lang", "h"]).withColumn("text", F.substring("text", 1, train_chars))
     texts: dict[str, list[str]] = {}
     for r in sorted(picked.select("lang", "h", "text").collect(), key=lambda r: (r.lang, r.h)):
         have = texts.setdefault(r.lang, [])
@@ -213,7 +245,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """Replace ``text`` by ``lang_pred`` and ``score``, a row per row."""
     spark = docs.sparkSession
     ship(spark)
-    # bounded by the number of languages times train_chars
+    # per language under 2 train_chars states of DENSE + 3 numbers, and the rare transitions
     shared = spark.sparkContext.broadcast(pickle.dumps(model))
     kept = [f for f in docs.schema if f.name != "text"]
 

@@ -15,6 +15,10 @@ labels take their parent's share.
 All statistics are grouped aggregations over all labelled documents; the
 driver sees only their totals.  Null hosts or paths form a group of their
 own, null texts count as empty, and unlabelled documents are scored alike.
+Repeated rows are scored each; an id labelled twice counts as bad if any of
+its labels is; other columns are ignored, whatever their names; an empty
+table gives an empty one, and without labels every score is 0.5.  The given
+tables have no addresses: ``source`` stands for the host, ``lang`` for the path.
 """
 
 from __future__ import annotations
@@ -98,9 +102,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, host: str = "source", pat
         evidence = evidence + F.get(F.lit(values), F.col(f"b_{f}"))
 
     sums = [F.count("*").cast("double").alias("n"), F.sum("good").cast("double").alias("k")]
-    hosts = _shrunk(labelled.groupBy("host").agg(*sums).withColumn("p0", F.lit(p)), "p0", p, "host_share")
-    paths = _shrunk(labelled.groupBy("host", "path").agg(*sums).join(hosts, "host")
-                    .withColumnRenamed("host_share", "ph"), "ph", p, "path_share")
+    # written first: their known size lets the joins below copy small tables to
+    # the tasks instead of sending all rows of one host to one task
+    hosts = materialise(_shrunk(labelled.groupBy("host").agg(*sums).withColumn("p0", F.lit(p)), "p0", p, "host_share"),
+                        "quality-hosts")
+    paths = materialise(_shrunk(labelled.groupBy("host", "path").agg(*sums).join(hosts, "host")
+                                .withColumnRenamed("host_share", "ph"), "ph", p, "path_share"), "quality-paths")
     joined = (feats.join(hosts, "host", "left").join(paths, ["host", "path"], "left")
               .withColumn("host_share", F.coalesce("host_share", F.lit(p)))
               .withColumn("path_share", F.coalesce("path_share", "host_share"))

@@ -11,7 +11,7 @@ A flat token file is a row of 16-bit big-endian token ids without an index;
    beginning is carried forward to the next block that holds a separator.
 
 Documents may carry a header of five 15-bit words with their id, which can
-never hold a separator; blocks read a few bytes more than their length, so
+never hold a separator (the first word's highest bit stands for a null id); blocks read a few bytes more than their length, so
 a header cut by a block edge is seen whole.  A last document without a
 separator counts up to the end of its file.
 
@@ -52,8 +52,14 @@ def _encoding(ranks: dict[bytes, int]):
     return tiktoken.Encoding("corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def header(doc_id: int) -> list[int]:
+#: in the first word, whose id part has four bits
+NULL_ID = 0x4000
+
+
+def header(doc_id: int | None) -> list[int]:
     """An id as five 15-bit words, the highest first."""
+    if doc_id is None:
+        return [NULL_ID] + [0] * (HEADER - 1)
     v = doc_id & 0xFFFFFFFFFFFFFFFF
     return [(v >> (15 * k)) & 0x7FFF for k in range(HEADER - 1, -1, -1)]
 
@@ -72,11 +78,11 @@ def _token_bytes(batches, ranks) -> Iterator[pa.RecordBatch]:
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY) -> None:
-    """docs (doc_id, text) -> flat token files under ``path``; rows with a
-    null doc_id are left out, as nothing could be said about them."""
+    """docs (doc_id, text) -> flat token files under ``path``, a document per
+    row: repeated rows and rows with a null id too; a null text is empty."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(_ranks(vocabulary))  # the size of the vocabulary
-    rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long"), "text")
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
     coded = rows.mapInArrow(lambda it: _token_bytes(it, shared.value), "value binary")
     # the sink writes the bytes as they are
     coded.select(F.col("value").cast("string")).write.option("lineSep", EOD_TEXT).text(path)
@@ -106,7 +112,8 @@ def _scan(batches) -> Iterator[pa.RecordBatch]:
             ids = np.zeros(len(begin), dtype=np.uint64)
             for j in range(HEADER):
                 ids = (ids << np.uint64(15)) | tok[np.minimum(begin + j, len(tok) - 1)].astype(np.uint64)
-            ids = ids.view(np.int64)
+            null = tok[np.minimum(begin, len(tok) - 1)] & NULL_ID > 0
+            ids = np.where(null, None, ids.view(np.int64))
             if len(sep):
                 add(f, k, 2, at // 2 + int(sep[0]), None, None)
             nxt = np.searchsorted(sep, begin)

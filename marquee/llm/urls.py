@@ -23,30 +23,58 @@ from marquee.llm.common import materialise
 #: rule -> verdict (fixed values)
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
-#: words of the small labelled URL table (fixed values)
-BLOCKED_WORDS = ("cheap", "pills", "casino", "jackpot", "slots", "win", "bets", "free", "ads", "track", "spam",
-                 "adult", "xxx", "replica", "payday", "lottery", "viagra", "singles")
-ALLOWED_WORDS = ("library", "herald", "garden", "history", "kitchen", "weather", "museum", "travel", "hospital",
-                 "thermal", "theatre", "railway", "health", "school", "archive", "hotel", "station", "north",
-                 "other", "nation", "thunder", "ribbon", "lesson", "mountain", "brother", "winter", "letter",
-                 "anchor", "author", "harbour", "lantern", "reader", "shelter", "thistle", "untitled", "wherever",
-                 "entire", "interest", "handle", "orient", "southern", "earth", "truth", "length", "method",
-                 "another", "weathering", "threshold", "thorn", "leather", "feather", "hearth", "month", "tenth")
+#: words of host names of the small labelled URL table, by subject (fixed values):
+#: what public blocklists are about ...
+BLOCKED_WORDS = (
+    "casino", "poker", "roulette", "jackpot", "slots", "betting", "bets", "lottery", "bingo", "win",          # gambling
+    "pills", "viagra", "cialis", "steroids", "slimming", "botox", "cheap", "discount", "replica", "fake",     # goods
+    "adult", "porn", "xxx", "sexy", "escort", "singles", "webcam", "hookup", "nude", "fetish",                # adult
+    "payday", "loans", "forex", "crypto", "profit", "cash", "rich", "prize", "giveaway", "free",              # money
+    "ads", "track", "popup", "click", "banner", "adserver", "pixel", "affiliate", "traffic", "leads",         # advertising
+    "spam", "linkfarm", "doorway", "malware", "phishing", "warez", "crack", "keygen", "torrent", "hack")      # abuse
+#: ... and what other sites are about
+ALLOWED_WORDS = (
+    "library", "museum", "theatre", "gallery", "orchestra", "history", "poetry", "author", "novel", "letter",
+    "garden", "kitchen", "leather", "furniture", "bakery", "butcher", "tailor", "carpenter", "florist", "potter",
+    "weather", "mountain", "river", "forest", "island", "harbour", "north", "southern", "earth", "feather",
+    "hospital", "health", "dentist", "therapy", "nursing", "mother", "brother", "father", "children", "family",
+    "school", "student", "teacher", "lesson", "science", "physics", "theory", "method", "research", "institute",
+    "railway", "station", "travel", "hotel", "bicycle", "sailing", "hiking", "camping", "airport", "journey",
+    "council", "nation", "election", "justice", "police", "parliament", "statistics", "register", "energy", "water",
+    "herald", "tribune", "times", "journal", "magazine", "opinion", "interview", "reader", "edition", "archive",
+    "software", "engineer", "machine", "network", "notation", "solution", "threshold", "another", "together", "other",
+    "thunder", "winter", "summer", "lantern", "anchor", "orient", "thistle", "hearth", "month", "tenth")
 #: how words stand in host names; both classes have the same frames, ends and
 #: paths, so that only the words make the difference
-FRAMES = ("{}", "www.{}-site", "m.{}-page", "blog.my-{}", "www.the-{}")
+FRAMES = ("{}", "www.{}", "m.{}", "blog.{}")
+PLAIN = ("site", "page", "online", "web", "portal", "home", "the", "my")
 ENDS = ("example.com", "example.org", "example.net", "test", "invalid", "example")
-PATHS = ("/", "/en/101", "/fr/7.html", "/page/2", "/de/330/", "/es/958", "/news/today")
+PATHS = ("/", "/en/101", "/fr/7.html", "/page/2", "/de/330/", "/es/958", "/news/today", "/en/2290#top")
 
 
-def _urls(words: tuple[str, ...]) -> list[str]:
-    names = [f.format(w) for w in words for f in FRAMES]
-    return [f"http://{n}.{ENDS[i % len(ENDS)]}{PATHS[i % len(PATHS)]}" for i, n in enumerate(names)]
+def _urls(words: tuple[str, ...], shifts: tuple[int, ...]) -> list[str]:
+    """Each word joined with a plain word, and with the words ``shifts`` places on.
+
+    Frames, ends and paths run through at different paces, so that each is as
+    frequent in one class as in the other and goes with all words.
+    """
+    out = []
+    for r, s in enumerate((0, *shifts)):
+        for i, w in enumerate(words):
+            k = i + 7 * r
+            other = words[(i + s) % len(words)] if s else PLAIN[(i // 5) % len(PLAIN)]
+            a, b = (w, other) if s or i % 2 else (other, w)
+            name = f"{a}-{b}" if i % 3 else f"{a}{b}"
+            out.append(f"http://{FRAMES[k // 3 % len(FRAMES)].format(name)}.{ENDS[k // 2 % len(ENDS)]}{PATHS[k % len(PATHS)]}")
+    return out
 
 
-LABELLED_URLS = [(u, 1) for u in _urls(BLOCKED_WORDS)] + [(u, 0) for u in _urls(ALLOWED_WORDS)]
+LABELLED_URLS = [(u, 1) for u in _urls(BLOCKED_WORDS, (7,))] + [(u, 0) for u in _urls(ALLOWED_WORDS, (7, 23))]
+#: other pairs of the words: the cutoff was chosen on the hosts that no labelled URL has
+HELD_OUT_URLS = [(u, 1) for u in _urls(BLOCKED_WORDS, (11, 31))] + [(u, 0) for u in _urls(ALLOWED_WORDS, (11, 31))]
 
-MOST_LABELLED = 2000
+MAX_LABELLED = 2000
+THRESHOLD = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -77,10 +105,14 @@ def fitting_rule(host: Column, path: Column, rules: dict[str, str]) -> Column:
 def _grams(s: Column, mark: str, sizes: tuple[int, ...], dims: int) -> list[Column]:
     # the mark keeps host and path apart and stands for the beginning
     t = F.concat(F.lit(mark), s, F.lit("$"))
-    return [F.when(F.length(t) >= n, F.transform(
-        F.sequence(F.lit(1), F.length(t) - (n - 1)),
-        lambda i, n=n: F.pmod(F.xxhash64(F.substring(t, i, F.lit(n))), F.lit(dims)).cast("int")))
-        .otherwise(F.array().cast("array<int>")) for n in sizes]
+
+    def of_size(n: int) -> Column:
+        # the lambda must have one parameter: transform gives a second one the place
+        gram = lambda i: F.pmod(F.xxhash64(F.substring(t, i, F.lit(n))), F.lit(dims)).cast("int")
+        return (F.when(F.length(t) >= n, F.transform(F.sequence(F.lit(1), F.length(t) - (n - 1)), gram))
+                .otherwise(F.array().cast("array<int>")))
+
+    return [of_size(n) for n in sizes]
 
 
 def features(host: Column, path: Column, sizes: tuple[int, ...], dims: int) -> Column:
@@ -104,21 +136,22 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
 
 
 def train(labelled: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), dims: int = 1 << 16, steps: int = 600,
-          rate: float = 6.0, penalty: float = 0.0001) -> tuple[list[float], float]:
+          rate: float = 6.0, penalty: float = 0.0001, max_labelled: int = MAX_LABELLED) -> tuple[list[float], float]:
     """labelled (url, blocked 0/1) -> weights and bias.
 
     Full-batch gradient descent with an L2 penalty from zero; the classes
     weigh as they occur.  The weights stay a combination of the labelled rows'
     features, so the descent runs on one coefficient per labelled row over
     the rows' inner products, as one fold over an array; the coefficients
-    are then summed per feature.  At most ``MOST_LABELLED`` rows.
+    are then summed per feature.  At most
+    ``max_labelled`` rows, as their inner products are one array.
     """
     rows = labelled.filter("url is not null and blocked is not null").select(
         F.col("blocked").cast("double").alias("y"),
         features(host_of(F.col("url")), path_of(F.col("url")), sizes, dims).alias("idx"))
     n, pos = rows.agg(F.count("*"), F.sum("y")).first()
-    if n > MOST_LABELLED:
-        raise ValueError(f"{n} labelled URLs; train takes at most {MOST_LABELLED}")
+    if n > max_labelled:
+        raise ValueError(f"{n} labelled URLs; train takes at most {max_labelled}")
     if not n or not pos or pos == n:
         return [0.0] * dims, (8.0 if pos else -8.0)
     one = rows.agg(F.array_sort(F.collect_list(F.struct("y", F.lit(1.0 / n).alias("share"), "idx"))).alias("r"))
@@ -147,7 +180,7 @@ def train(labelled: DataFrame, sizes: tuple[int, ...] = (3, 4, 5), dims: int = 1
 
 
 def filter_urls(pages: DataFrame, labelled: DataFrame | None = None, rules: dict[str, str] = RULES,
-                sizes: tuple[int, ...] = (3, 4, 5), dims: int = 1 << 16, threshold: float = 0.35) -> DataFrame:
+                sizes: tuple[int, ...] = (3, 4, 5), dims: int = 1 << 16, threshold: float = THRESHOLD) -> DataFrame:
     """pages (url, ...) -> the same rows with host, path, rule, verdict and
     score (the model's probability of ``block``); ``url`` and ``html`` go."""
     w, bias = train(labelled if labelled is not None else labelled_urls(pages.sparkSession), sizes, dims)

@@ -351,7 +351,7 @@ def test_url_filter(spark):
                if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
         rule = max(fit, key=len, default=None)
         assert (g.host, g.path, g.rule) == (host, path, rule)
-        assert g.verdict == (urls.RULES[rule] if rule else "block" if g.score >= 0.35 else "allow")
+        assert g.verdict == (urls.RULES[rule] if rule else "block" if g.score >= urls.THRESHOLD else "allow")
     assert next(g for g in got if g.page_id is None).verdict == "block"
 
 
