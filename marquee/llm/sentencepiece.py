@@ -1,48 +1,67 @@
-"""SentencePiece encoding and decoding over a word lattice (operator 3).
+"""SentencePiece encoding and decoding by a relational lattice (operator 3).
 
 The piece table (a public BPE model with byte fallback; its path is a
-parameter) is relational: one row per piece.  A batch of texts becomes
-
-* a table of its distinct *words*, a word being a run of blanks with the
-  following run of other characters - no piece crosses such a boundary;
-* the *substrings* of every word up to the longest piece, extended one
-  character at a time and equi-joined to the prefixes of pieces (by 64-bit
-  hash); a substring that no piece begins with is not extended;
-* the *edges* (word, start, end, piece), grouped by word and folded in the
-  order of their ends.  The fold keeps the last piece of the best path to
-  every position.  A BPE encoding is the one path in which every two
-  adjacent pieces are what merging their concatenation would give, so the
-  score of a step is whether its pair of pieces is stable; exactly one edge
-  per position survives and the ids equal the model's own.
-
-Stability of a pair is computed once per pair by merging (best score first,
-leftmost on ties) and remembered.  A character without a piece is its UTF-8
-bytes as byte pieces.  Decoding joins the pieces' bytes and drops the first
-blank.  U+2581, the model's own sign for a blank, decodes to a blank, as in
-the library; every other text returns unchanged.
-
-A null text has null ids; an empty text has none.
+parameter) is a table with one row per piece.  Encoding runs over the distinct
+*segments* of all texts:
+
+* a segment is a run of blanks with the run of characters behind it that some
+  piece can hold side by side; no piece crosses its ends, which is read off the
+  piece table (characters that are neighbours in a piece are of one class);
+* every segment is exploded into its substrings up to the longest piece, these
+  are equi-joined to the piece table, and the *edges* (end, length, piece) are
+  grouped by segment.  Segments are dealt by their key, so only they are
+  shuffled and never the edges;
+* Spark's ``aggregate`` folds the edges in the order of their ends and keeps the
+  last piece of the best path to every position.  A BPE encoding is the one
+  path in which every two adjacent pieces are what merging their concatenation
+  would give, so the score of a step is whether its pair of pieces is stable;
+  exactly one edge per position survives and the ids equal the model's own.  A
+  second fold walks back from the end.
+
+The ids go back to the texts by segment: the most frequent segments (at most
+``hot``, of at most ``HOT_IDS`` pieces) are broadcast, the others, of which none
+is frequent, are joined by key and gathered per text.  Keys of segments and of
+texts have 128 bits; a task finds a segment among the broadcast ones by 64.
+
+Whether a pair is stable follows from the two merge trees (:class:`Pairs`).  A
+character without a piece is its UTF-8 bytes as byte pieces.  Decoding joins the
+pieces' bytes and drops the first blank.  U+2581, the model's own sign for a
+blank, decodes to a blank, as in the library; every other text returns unchanged.
+
+A null text has null ids; an empty text has none; repeated rows return once each;
+an empty table gives an empty one.  Other columns pass unchanged, but for those
+named like a result column, which the result replaces.  Pieces may have up to 16
+characters; a piece table with longer ones is refused.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from marquee.llm import scan
-from marquee.llm.common import ship
+from marquee.llm.common import materialise, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
-UNKNOWN, START = 1 << 20, (1 << 20) + 1
-#: ids of words that a task remembers; beyond it forgets them and goes on
-REMEMBERED = 4_000_000
+#: a character without a piece is an edge with this flag and its code point
+UNKNOWN = 1 << 21
+ID_BITS = 22
+LONGEST = 16
+#: broadcast segments and the pieces of one of them
+HOT, HOT_IDS = 1 << 19, 32
+#: segments of one task of the lattice; characters of a window; edges of one inner fold
+TASK_SEGMENTS, WINDOW, BLOCK = 40_000, 256, 1024
+NEVER = 1 << 30
 U64 = np.uint64
-_CHAR_STEP = U64(0x9E3779B97F4A7C15)
 
 
 def piece_table(path: str = MODEL) -> list[tuple[int, str, float, int]]:
@@ -59,16 +78,141 @@ def piece_table(path: str = MODEL) -> list[tuple[int, str, float, int]]:
     return rows
 
 
-def _extend(h: np.ndarray, c: np.ndarray) -> np.ndarray:
-    return scan.mix(h * U64(0xD6E8FEB86659FD93) + (c.astype(U64) + U64(1)) * _CHAR_STEP)
+def merges(text: str, rank: dict[str, int]) -> list[tuple[int, int, int, int]]:
+    """Merging of a text, best rank first, leftmost on ties: (rank, start, middle, end)."""
+    end = {i: i + 1 for i in range(len(text))}   # symbol by its start
+    start = {i + 1: i for i in range(len(text))}
+    heap: list[tuple[int, int, int, int]] = []
+
+    def push(a, m):
+        if a is not None and m in end and (r := rank.get(text[a:end[m]])) is not None:
+            heapq.heappush(heap, (r, a, m, end[m]))
+
+    for i in range(len(text) - 1):
+        push(i, i + 1)
+    done = []
+    while heap:
+        r, a, m, e = heapq.heappop(heap)
+        if end.get(a) != m or end.get(m) != e:
+            continue
+        del end[m]
+        end[a], start[e] = e, a
+        done.append((r, a, m, e))
+        push(start.get(a), a)
+        push(a, e)
+    return done
+
+
+class Pairs:
+    """Which pairs of pieces are stable, that is, merge to themselves side by side.
+
+    Each half merges as it would alone until a merge crosses the border.  The
+    symbols that ever touch the border are one chain in each half.  A symbol
+    comes at a ``level`` (the worst rank that its half has merged by then) and is
+    ``held`` until the worst rank between its coming and its own merge.  A
+    crossing merge of ``a`` and ``b`` happens when its rank and the level of each
+    come before the other is gone; on ties the left goes first.
+    """
 
+    def __init__(self, table: list[tuple[int, str, float, int]]):
+        rows = sorted((-s, i, p) for i, p, s, b in table if b < 0)
+        rank = {p: k for k, (_, _, p) in enumerate(rows)}
+        self.id = {p: i for _, i, p in rows}
+        n = max(i for i, *_ in table) + 1
+        head, tail, depth = {}, {}, 1
+        for p, i in list(self.id.items()):
+            done = merges(p, rank)
+            if len(done) < len(p) - 1:
+                del self.id[p]      # merging never makes this piece
+                continue
+            for chains, edge in ((head, 1), (tail, 3)):
+                at = 0 if edge == 1 else len(p)
+                chain, level, since, size = [], -1, -1, 1
+                begun = -1
+                for r, a, m, e in done:
+                    level, since = max(level, r), max(since, r)
+                    if (a if edge == 1 else e) == at:
+                        chain.append((p[:size] if edge == 1 else p[-size:], begun, since))
+                        size, begun, since = e - a, level, -1
+                chain.append((p, begun, NEVER))
+                chains[i] = chain
+                depth = max(depth, len(chain))
+        self.head, self.tail = (self._grid(c, n, depth) for c in (head, tail))
+        key, val = [], []
+        for p, k in rank.items():
+            for c in range(1, len(p)):
+                if p[:c] in self.id and p[c:] in self.id:
+                    key.append(self.id[p[:c]] << 21 | self.id[p[c:]])
+                    val.append(k)
+        order = np.argsort(key)
+        self.key, self.rank = np.array(key, np.int64)[order], np.array(val, np.int64)[order]
+        self.known, self.stable = np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def _grid(self, chains, n, depth):
+        grid = np.full((3, depth, n), -1, dtype=np.int32)
+        for i, chain in chains.items():
+            for d, (p, level, held) in enumerate(chain):
+                grid[:, d, i] = self.id.get(p, -1), level, held
+        return grid
+
+    def decide(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(left), dtype=bool)
+        for i in range(self.tail.shape[1]):
+            a, la, ka = self.tail[:, i, left]
+            for j in range(self.head.shape[1]):
+                on = np.flatnonzero(ok & (a >= 0) & (self.head[0, j, right] >= 0))
+                if not len(on) or not len(self.key):
+                    continue
+                b, lb, kb = self.head[:, j, right[on]]
+                k = a[on].astype(np.int64) << 21 | b
+                at = np.searchsorted(self.key, k)
+                at[at == len(self.key)] = 0
+                r = self.rank[at]
+                bad = (self.key[at] == k) & (np.maximum(r, lb) < ka[on]) & (np.maximum(r, la[on]) <= kb)
+                ok[on[bad]] = False
+        return ok
+
+    def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Stability of pairs, remembered; forgotten beyond some 4 million."""
+        uniq, inv = np.unique(left.astype(np.int64) << 21 | right, return_inverse=True)
+        at = np.searchsorted(self.known, uniq)
+        miss = np.ones(len(uniq), dtype=bool)
+        inside = at < len(self.known)
+        miss[inside] = self.known[at[inside]] != uniq[inside]
+        if miss.any():
+            if len(self.known) > 4_000_000:
+                self.known, self.stable = np.zeros(0, np.int64), np.zeros(0, bool)
+                return self(left, right)
+            new = uniq[miss]
+            self.known = np.insert(self.known, at[miss], new)
+            self.stable = np.insert(self.stable, at[miss], self.decide(new >> 21, new & (UNKNOWN - 1)))
+            at = np.searchsorted(self.known, uniq)
+        return self.stable[at][inv]
 
-class Lattice:
-    """Piece tables of one model, and the pairs already decided."""
+
+class Pieces:
+    """What tasks need of a piece table besides the join: classes, bytes and pairs."""
 
     def __init__(self, table: list[tuple[int, str, float, int]]):
-        self.score = {p: (s, i) for i, p, s, b in table if b < 0}
-        self.text = {i: p for i, p, s, b in table if b < 0}
+        self.table = table
+        self.pairs: Pairs | None = None
+        root: dict[str, str] = {}
+
+        def find(c):
+            while root.setdefault(c, c) != c:
+                c = root[c]
+            return c
+
+        for _, p, _, b in table:
+            rest = p.lstrip(chr(BLANK))
+            if b < 0 and (chr(BLANK) in rest or len(p) > LONGEST):
+                raise ValueError(f"piece {p!r}: a blank behind another character, or over {LONGEST} characters")
+            for x, y in zip(rest, rest[1:]) if b < 0 else ():
+                root[find(x)] = find(y)
+        number: dict[str, int] = {}
+        self.cls = np.zeros(0x110000, dtype=np.int32)   # 0: no neighbours in any piece
+        for c in list(root):
+            self.cls[ord(c)] = number.setdefault(find(c), len(number) + 1)
         size = max(i for i, *_ in table) + 1
         self.byte_id = np.zeros(256, dtype=np.int64)
         raw = [b""] * size
@@ -79,208 +223,84 @@ class Lattice:
         self.raw_size = np.array([len(x) for x in raw], dtype=np.int64)
         self.raw_at = np.cumsum(self.raw_size) - self.raw_size
         self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        # prefixes of pieces by length: sorted hashes, piece id or -1
-        ids = np.array([i for _, i in self.score.values()], dtype=np.int64)
-        size_of = np.array([len(p) for p in self.score])
-        self.longest = int(size_of.max())
-        cp = np.frombuffer("".join(self.score).encode("utf-32-le"), dtype=np.uint32)
-        at = np.cumsum(size_of) - size_of
-        h = np.zeros(len(ids), dtype=U64)
-        self.prefix = []
-        for k in range(self.longest):
-            on = size_of > k
-            at, h, ids, size_of = at[on], _extend(h[on], cp[at[on] + k]), ids[on], size_of[on]
-            keys, inv = np.unique(h, return_inverse=True)
-            piece = np.full(len(keys), -1, dtype=np.int64)
-            whole = size_of == k + 1
-            piece[inv[whole]] = ids[whole]
-            self.prefix.append((keys, piece))
-        self.known = np.zeros(0, dtype=np.int64)
-        self.stable = np.zeros(0, dtype=bool)
-        self._forget()
-
-    def _forget(self) -> None:
-        """No words remembered: sorted hashes, place and number of their ids."""
-        self.word_hash = np.zeros(0, dtype=U64)
-        self.word_at = self.word_n = np.zeros(0, dtype=np.int64)
-        self.word_ids = np.zeros(0, dtype=np.int32)
-
-    # ------------------------------------------------------------ pair score
-    def _merge(self, text: str) -> list[str]:
-        """Greedy merging: best score first, leftmost on ties."""
-        sym: list[str | None] = list(text)
-        nxt, prv = list(range(1, len(sym) + 1)), list(range(-1, len(sym) - 1))
-        heap = []
-
-        def push(a, b):
-            if a >= 0 and b < len(sym) and (hit := self.score.get(sym[a] + sym[b])):
-                heapq.heappush(heap, (-hit[0], a, b, sym[a] + sym[b]))
-
-        for i in range(len(sym) - 1):
-            push(i, i + 1)
-        while heap:
-            _, a, b, p = heapq.heappop(heap)
-            if sym[a] is None or sym[b] is None or nxt[a] != b or sym[a] + sym[b] != p:
-                continue
-            sym[a], sym[b] = p, None
-            nxt[a] = nxt[b]
-            if nxt[a] < len(sym):
-                prv[nxt[a]] = a
-            push(prv[a], a)
-            push(a, nxt[a])
-        return [s for s in sym if s is not None]
-
-    def _pairs(self, key: np.ndarray) -> np.ndarray:
-        """Whether each pair (left id << 21 | right id) is stable."""
-        uniq, inv = np.unique(key, return_inverse=True)
-        at = np.searchsorted(self.known, uniq)
-        miss = np.ones(len(uniq), dtype=bool)
-        inside = at < len(self.known)
-        miss[inside] = self.known[at[inside]] != uniq[inside]
-        if miss.any():
-            new = uniq[miss]
-            val = []
-            for k in new.tolist():
-                a, b = k >> 21, k & 0x1FFFFF
-                if a >= UNKNOWN or b >= UNKNOWN:
-                    val.append(True)
-                else:
-                    val.append(self._merge(self.text[a] + self.text[b]) == [self.text[a], self.text[b]])
-            keys = np.concatenate([self.known, new])
-            vals = np.concatenate([self.stable, np.array(val, dtype=bool)])
-            order = np.argsort(keys)
-            self.known, self.stable = keys[order], vals[order]
-            at = np.searchsorted(self.known, uniq)
-        return self.stable[at][inv]
 
-    # --------------------------------------------------------------- lattice
-    def _edges(self, cp: np.ndarray, end: np.ndarray):
-        """(start, length, piece) of all substrings of words that are pieces;
-        ``end`` is the end of the word at each position."""
-        n = len(cp)
-        at = np.arange(n)
-        h = np.zeros(n, dtype=U64)
-        starts, lens, ids = [], [], []
-        for k, (keys, piece) in enumerate(self.prefix):
-            inside = at + k < end[at]
-            at, h = at[inside], h[inside]
-            if not len(at):
-                break
-            h = _extend(h, cp[at + k])
-            pos = np.searchsorted(keys, h)
-            pos[pos == len(keys)] = 0
-            hit = keys[pos] == h
-            p = np.where(hit, piece[pos], -1)
-            if k == 0:
-                # every character is an edge, known or not
-                p = np.where(p < 0, UNKNOWN, p)
-            found = p >= 0
-            starts.append(at[found])
-            lens.append(np.full(int(found.sum()), k + 1))
-            ids.append(p[found])
-            at, h = at[hit], h[hit]
-        return np.concatenate(starts), np.concatenate(lens), np.concatenate(ids)
-
-    def _fold(self, cp: np.ndarray, first: np.ndarray, size: np.ndarray):
-        """Last piece and its start at every position of words given by
-        ``first`` and ``size``."""
-        end = np.repeat(first + size, size)
-        begin = np.repeat(first, size)
-        start, ln, piece = self._edges(cp, end)
-        stop = start + ln - 1  # position whose prefix the edge completes
-        rank = stop - begin[stop]
-        order = np.lexsort((-ln, stop, rank))
-        start, ln, piece, stop, rank = (x[order] for x in (start, ln, piece, stop, rank))
-        last = np.full(len(cp), START, dtype=np.int64)
-        length = np.zeros(len(cp), dtype=np.int64)
-        cuts = np.searchsorted(rank, np.arange(int(rank.max()) + 2)) if len(rank) else []
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            s, p, e = start[lo:hi], piece[lo:hi], stop[lo:hi]
-            left = np.where(s > begin[s], last[np.maximum(s - 1, 0)], START)
-            ok = np.flatnonzero(self._pairs((left << 21) | p))
-            e, keep = np.unique(e[ok], return_index=True)
-            ok = ok[keep]
-            last[e] = p[ok]
-            length[e] = ln[lo:hi][ok]
-        return last, length
-
-    def _encode_words(self, cp: np.ndarray, first: np.ndarray, size: np.ndarray):
-        """Flat ids of the words, and the number of ids of each."""
-        last, length = self._fold(cp, first, size)
-        # walk back from the end of all words at once
-        at, word = first + size - 1, np.arange(len(first))
-        words, where, ids = [], [], []
-        while len(at):
-            words.append(word)
-            where.append(at)
-            ids.append(last[at])
-            at = at - length[at]
-            live = at >= first[word]
-            at, word = at[live], word[live]
-        word, where, ids = np.concatenate(words), np.concatenate(where), np.concatenate(ids)
-        order = np.lexsort((where, word))
-        word, where, ids = word[order], where[order], ids[order]
-        unknown = ids == UNKNOWN
-        if unknown.any():
-            # characters without a piece become their bytes
-            c = cp[where].astype(np.int64)
-            width = np.where(unknown, 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF), 1)
-            rep = np.repeat(np.arange(len(ids)), width)
-            k = np.arange(len(rep)) - np.repeat(np.cumsum(width) - width, width)
-            c, w = c[rep], width[rep]
-            bits = (c >> (6 * (w - 1 - k))) & 0x3F
-            head = np.array([0, 0, 0xC0, 0xE0, 0xF0])[w] | (c >> (6 * (w - 1)))
-            byte = np.where(w == 1, c & 0x7F, np.where(k == 0, head, 0x80 | bits))
-            ids = np.where(unknown[rep], self.byte_id[byte & 0xFF], ids[rep])
-            word = word[rep]
-        return ids, np.bincount(word, minlength=len(first))
-
-    def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """UTF-8 texts -> flat ids and the number of ids per text."""
-        n = len(off) - 1
-        # a blank before every text that is not empty
-        full = np.flatnonzero(off[1:] > off[:-1])
-        raw = np.insert(data, off[full], 0x20)
+    def segments(self, data: np.ndarray, off: np.ndarray):
+        """Code points of UTF-8 texts, each not empty one behind a blank, and their
+        segments: first code point, length, text, and the two halves of the key."""
         size = np.diff(off) + (np.diff(off) > 0)
+        raw = np.insert(data, off[np.flatnonzero(off[1:] > off[:-1])], 0x20)
         cp = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32).copy()
-        head = np.array([b & 0xC0 != 0x80 for b in range(256)])[raw]
-        chars = np.concatenate([[0], np.cumsum(head)])
+        none = np.zeros(0, np.int64)
+        if not len(cp):
+            return cp, none, none, none, none, none
+        chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         edge = chars[np.concatenate([[0], np.cumsum(size)])]
         cp[cp == 0x20] = BLANK
-        if not len(cp):
-            return np.zeros(0, np.int64), np.zeros(n, np.int64)
         blank = cp == BLANK
-        new = np.zeros(len(cp), dtype=bool)
-        new[0] = True
-        new[1:] = blank[1:] & ~blank[:-1]
+        cls = self.cls[cp]
+        new = np.ones(len(cp), dtype=bool)
+        new[1:] = np.where(blank[1:], ~blank[:-1], ~blank[:-1] & ((cls[1:] != cls[:-1]) | (cls[1:] == 0)))
         new[edge[:-1][np.diff(edge) > 0]] = True
         first = np.flatnonzero(new)
         width = np.diff(np.append(first, len(cp)))
-        doc = np.searchsorted(edge, first, "right") - 1
-        # distinct words by hash of their characters
-        wh = np.add.reduceat(scan.mix(cp.astype(U64) + U64(1)) * scan.powers(int(width.max()) + 1)[
-            np.arange(len(cp)) - np.repeat(first, width) + 1], first)
-        uniq, pick, inv = np.unique(scan.mix(wh + width.astype(U64)), return_index=True, return_inverse=True)
-        if len(self.word_ids) > REMEMBERED:
-            self._forget()
-        pos = np.searchsorted(self.word_hash, uniq)
-        fresh = np.ones(len(uniq), dtype=bool)
-        inside = pos < len(self.word_hash)
-        fresh[inside] = self.word_hash[pos[inside]] != uniq[inside]
-        if fresh.any():
-            uw = width[pick[fresh]]
-            ufirst = np.cumsum(uw) - uw
-            ucp = cp[np.repeat(first[pick[fresh]] - ufirst, uw) + np.arange(int(uw.sum()))]
-            ids, count = self._encode_words(ucp, ufirst, uw)
-            put = pos[fresh]
-            self.word_at = np.insert(self.word_at, put, len(self.word_ids) + np.cumsum(count) - count)
-            self.word_n = np.insert(self.word_n, put, count)
-            self.word_hash = np.insert(self.word_hash, put, uniq[fresh])
-            self.word_ids = np.concatenate([self.word_ids, ids.astype(np.int32)])
-            pos = np.searchsorted(self.word_hash, uniq)
-        each, at = self.word_n[pos][inv], self.word_at[pos][inv]
-        out = self.word_ids[np.repeat(at - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
-        return out, np.bincount(doc, weights=each, minlength=n).astype(np.int64)
+        step = scan.powers(int(width.max()) + 1)[np.arange(len(cp)) - np.repeat(first, width) + 1]
+        c = cp.astype(U64)
+        h1, h2 = (scan.mix(np.add.reduceat(scan.mix(c + U64(k)) * step, first) + width.astype(U64)).view(np.int64)
+                  for k in (1, 0x2545F4914F6CDD1D))
+        return cp, first, width, np.searchsorted(edge, first, "right") - 1, h1, h2
+
+    def masks(self, edges: pa.ListArray) -> pa.ListArray:
+        """Edges (start, length, piece) of each segment in the order of their ends, with
+        the lengths of the pieces before them that make a stable pair, as bits."""
+        self.pairs = self.pairs or Pairs(self.table)
+        off = np.asarray(edges.offsets, dtype=np.int64)
+        v = np.asarray(edges.values, dtype=np.int64)[off[0]:off[-1]]
+        off = off - off[0]
+        w = np.repeat(np.arange(len(off) - 1), np.diff(off))
+        start, ln, piece = v >> 26, (v >> ID_BITS & 15) + 1, v & ((1 << ID_BITS) - 1)
+        end = start + ln
+        order = np.lexsort((end, w))
+        w, start, ln, piece, end = (x[order] for x in (w, start, ln, piece, end))
+        base = np.zeros(len(off) - 1, dtype=np.int64)
+        if len(w):
+            n = np.zeros(len(off) - 1, dtype=np.int64)
+            np.maximum.at(n, w, end)
+            base = np.cumsum(n + 1) - (n + 1)
+            left = np.full((LONGEST, int((n + 1).sum())), -1, dtype=np.int32)
+            left[ln - 1, base[w] + end] = piece
+        mask = np.where(start == 0, (1 << LONGEST) - 1, 0)
+        inner = np.flatnonzero(start > 0)
+        at = (base[w] + start)[inner]
+        asked = []
+        for k in range(LONGEST):
+            p = left[k, at] if len(inner) else np.zeros(0, np.int32)
+            hit = p >= 0
+            free = hit & ((p >= UNKNOWN) | (piece[inner] >= UNKNOWN))
+            mask[inner[free]] |= 1 << k
+            ask = np.flatnonzero(hit & ~free)
+            asked.append((np.full(len(ask), k), inner[ask], p[ask]))
+        k, e, p = (np.concatenate(x) for x in zip(*asked))
+        if len(k):
+            ok = self.pairs(p, piece[e])
+            np.bitwise_or.at(mask, e[ok], 1 << k[ok])
+        out = ((piece << 1 | end & 1) << 4 | ln - 1) << 16 | mask
+        return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(out, pa.int64()))
+
+    def spelled(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in which characters without a piece are their bytes, and the counts."""
+        unknown = ids >= UNKNOWN
+        if not unknown.any():
+            return ids, count
+        c = np.where(unknown, ids - UNKNOWN, 0)
+        width = np.where(unknown, 1 + (c > 0x7F) + (c > 0x7FF) + (c > 0xFFFF), 1)
+        rep = np.repeat(np.arange(len(ids)), width)
+        k = np.arange(len(rep)) - np.repeat(np.cumsum(width) - width, width)
+        c, w = c[rep], width[rep]
+        lead = np.array([0, 0, 0xC0, 0xE0, 0xF0])[w] | c >> 6 * (w - 1)
+        byte = np.where(w == 1, c & 0x7F, np.where(k == 0, lead, 0x80 | c >> 6 * (w - 1 - k) & 0x3F))
+        owner = np.repeat(np.arange(len(count)), count)
+        return (np.where(unknown[rep], self.byte_id[byte & 0xFF], ids[rep]),
+                np.bincount(owner[rep], minlength=len(count)).astype(np.int64))
 
     def decode(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and counts -> UTF-8 bytes and the size of each text."""
@@ -296,33 +316,198 @@ class Lattice:
         return out, total
 
 
-_LATTICE: dict[str, Lattice] = {}
+class Lexicon:
+    """Ids of segments by the first half of their keys, sorted."""
+
+    def __init__(self, pieces: Pieces, key: np.ndarray, ids: np.ndarray, count: np.ndarray):
+        ids, count = pieces.spelled(ids, count)
+        order = np.argsort(key, kind="stable")
+        self.key, self.n = key[order], count[order]
+        self.at = (np.cumsum(count) - count)[order]
+        self.ids = ids.astype(np.int32)
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Place of each key, or -1."""
+        if not len(self.key):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where(self.key[at] == key, at, -1)
+
 
+_PIECES: dict[str, Pieces] = {}
+_HOT: dict[str, Lexicon] = {}
 
-def _lattice(model: str, table) -> Lattice:
-    """The worker's lattice of a model, with the pairs and words it knows."""
-    if model not in _LATTICE:
-        _LATTICE.clear()
-        _LATTICE[model] = Lattice(table)
-    return _LATTICE[model]
 
+def _pieces(model: str, table) -> Pieces:
+    """The worker's tables of a model, with the pairs that it knows."""
+    if model not in _PIECES:
+        _PIECES.clear()
+        _PIECES[model] = Pieces(table)
+    return _PIECES[model]
 
-def _encode(batches, model, table) -> Iterator[pa.RecordBatch]:
-    lat = _lattice(model, table)
+
+def _hot(pieces: Pieces, name: str, hot) -> Lexicon:
+    if name not in _HOT:
+        _HOT.clear()
+        _HOT[name] = Lexicon(pieces, *hot)
+    return _HOT[name]
+
+
+def _segments(batches, model, table) -> Iterator[pa.RecordBatch]:
+    """Distinct segments of each slice and how often they occur."""
+    t = _pieces(model, table)
     for b in batches:
-        text = b.column(b.schema.get_field_index("text"))
-        others = [(f.name, b.column(i)) for i, f in enumerate(b.schema) if f.name != "text"]
+        for _, _, data, off in scan.slices(b.column(0)):
+            cp, first, width, _, h1, h2 = t.segments(data, off)
+            if not len(first):
+                continue
+            _, pick, n = np.unique(h1 ^ (h2 << 1), return_index=True, return_counts=True)
+            size = width[pick]
+            at = np.cumsum(size) - size
+            text = cp[np.repeat(first[pick] - at, size) + np.arange(int(size.sum()))]
+            flat = np.frombuffer(text.tobytes().decode("utf-32-le").encode(), dtype=np.uint8)
+            chars = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))
+            o = chars[np.append(at, len(text))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h1[pick]), pa.array(h2[pick]), pa.LargeStringArray.from_buffers(
+                    len(pick), pa.py_buffer(o.astype(np.int64)), pa.py_buffer(flat)).cast(pa.string()), pa.array(n)],
+                ["h1", "h2", "segment", "n"])
+
+
+def _with_masks(batches, model, table) -> Iterator[pa.RecordBatch]:
+    t = _pieces(model, table)
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([*b.columns[:3], t.masks(b.column(3))], ["h1", "h2", "n", "edges"])
+
+
+def _in_blocks(items: Column, first: dict[str, Column], step) -> Column:
+    """What a fold appends to ``out``, in reverse.  Short inner folds fill ``out``, which an
+    outer one appends to the whole, so that long segments stay cheap.  ``step`` gives a
+    state's new fields."""
+    none = F.array().cast("array<bigint>")
+    pack = lambda state, whole, out: F.struct(*(state[k].alias(k) for k in first), whole.alias("whole"), out.alias("out"))
+    return F.aggregate(
+        F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")), pack(first, none, none),
+        lambda acc, c: F.aggregate(
+            F.slice(items, c * BLOCK + 1, BLOCK), acc, lambda s, e: step(s, e, lambda new, x: pack(
+                new, s["whole"], F.concat(s["out"], F.array(x)))),
+            lambda s: pack(s, F.concat(s["whole"], s["out"]), none)),
+        lambda s: F.reverse(s["whole"]))
+
+
+def lattice(segments: DataFrame, model: str = MODEL) -> DataFrame:
+    """(h1, h2, n, ids) of distinct segments (h1, h2, segment, n); an id from ``UNKNOWN``
+    on is a character without a piece."""
+    spark = segments.sparkSession
+    ship(spark)
+    table = piece_table(model)
+    shared = spark.sparkContext.broadcast(table)
+    known = Pairs(table).id
+    # the size of the vocabulary
+    pieces = F.broadcast(spark.createDataFrame([(p, i) for p, i in known.items()], "piece string, id long"))
+    longest = max(map(len, known))
+    size = F.length("segment")
+    window = segments.select("h1", "h2", "n", F.posexplode(F.transform(
+        F.sequence(F.lit(0), F.floor((size - 1) / WINDOW).cast("int")),
+        lambda c: F.substring("segment", c * WINDOW + 1, F.lit(WINDOW + longest - 1)))).alias("c", "window"))
+    at = window.select("h1", "h2", "n", "c", "window", F.explode(
+        F.sequence(F.lit(0), F.least(F.lit(WINDOW), F.length("window")) - 1)).alias("at"))
+    # windows overlap by the longest piece; the next one begins where this one's starts end
+    at = at.filter("at < length(window)")
+    strings = at.select("h1", "h2", "n", (F.col("c") * F.lit(WINDOW).cast("long") + F.col("at")).alias("start"), F.explode(
+        F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("window") - F.col("at"))),
+                    lambda k: F.substring(F.col("window"), F.col("at") + 1, k))).alias("piece"))
+    ln = F.length("piece")
+    edge = strings.join(pieces, "piece", "left").filter((F.col("id").isNotNull()) | (ln == 1)).select(
+        "h1", "h2", "n", F.shiftleft("start", 26).bitwiseOR(F.shiftleft((ln - 1).cast("long"), ID_BITS)).bitwiseOR(
+            F.coalesce("id", F.lit(UNKNOWN) + F.ascii("piece"))).alias("edge"))
+    grouped = edge.groupBy("h1", "h2", "n").agg(F.collect_list("edge").alias("edges"))
+    ready = grouped.mapInArrow(lambda it: _with_masks(it, model, shared.value), "h1 long, h2 long, n long, edges array<long>")
+
+    # ring: lengths - 1 of the surviving edges that end at the last 16 positions, four bits each;
+    # odd: whether the last of these positions is odd
+    zero = F.lit(0).cast("long")
+
+    def survive(s, e, put):
+        size = F.shiftright(e, 16).bitwiseAND(F.lit(15))
+        before = F.call_function("shiftright", s["ring"], (size * 4).cast("int")).bitwiseAND(F.lit(15)).cast("int")
+        stable = F.call_function("shiftright", e, before).bitwiseAND(F.lit(1)) == 1
+        ahead = F.shiftright(e, 20).bitwiseAND(F.lit(1)) != s["odd"]
+        return F.when(ahead & stable, put({"ring": F.shiftleft(s["ring"], 4).bitwiseOR(size), "odd": 1 - s["odd"]}, e)).otherwise(s)
+
+    def walk_back(s, e, put):
+        passed = F.struct((s["skip"] - 1).alias("skip"), s["whole"].alias("whole"), s["out"].alias("out"))
+        return F.when(s["skip"] > 0, passed).otherwise(
+            put({"skip": F.shiftright(e, 16).bitwiseAND(F.lit(15))}, F.shiftright(e, 21)))
+
+    last = ready.select("h1", "h2", "n", _in_blocks(F.col("edges"), {"ring": zero, "odd": zero}, survive).alias("last"))
+    return last.select("h1", "h2", "n", _in_blocks(F.col("last"), {"skip": zero}, walk_back).cast("array<int>").alias("ids"))
+
+
+def _most_frequent(lexicon: DataFrame, hot: int) -> DataFrame:
+    """The segments from the lowest count on at which no more than ``hot`` are left."""
+    short = lexicon.filter(F.size("ids") <= HOT_IDS)
+    step = F.floor(8 * F.log2("n")).cast("int")
+    room, least = hot, NEVER
+    for r in sorted(short.groupBy(step.alias("b")).count().collect(), key=lambda r: -r.b):   # some 500 rows
+        if r["count"] > room:
+            break
+        room, least = room - r["count"], r.b
+    return short.filter(step >= least)
+
+
+def _rare(batches, model, table, name, hot) -> Iterator[pa.RecordBatch]:
+    """The distinct segments of each text that are not broadcast."""
+    t = _pieces(model, table)
+    known = _hot(t, name, hot)
+    for b in batches:
+        t1, t2 = (np.asarray(b.column(i), dtype=np.int64) for i in (1, 2))
+        for lo, _, data, off in scan.slices(b.column(0)):
+            _, _, _, doc, h1, h2 = t.segments(data, off)
+            on = np.flatnonzero(known.find(h1) < 0)
+            _, pick = np.unique(np.stack([doc[on], h1[on], h2[on]]), axis=1, return_index=True)
+            on = on[pick]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t1[lo + doc[on]], t2[lo + doc[on]], h1[on], h2[on])],
+                                             ["t1", "t2", "h1", "h2"])
+
+
+def _flat(col) -> tuple[np.ndarray, np.ndarray]:
+    """Values and counts of a list column without nulls."""
+    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
+    off = np.asarray(col.offsets, dtype=np.int64)
+    return np.asarray(col.values.slice(int(off[0]), int(off[-1] - off[0])), dtype=np.int64), np.diff(off)
+
+
+def _encode(batches, model, table, name, hot) -> Iterator[pa.RecordBatch]:
+    t = _pieces(model, table)
+    known = _hot(t, name, hot)
+    for b in batches:
+        text, rare = b.column(b.schema.get_field_index("text")), b.column(b.schema.get_field_index("rare"))
         for lo, hi, data, off in scan.slices(text):
-            ids, count = lat.encode(data, off)
-            back, size = lat.decode(ids, count)
-            ok = _equal_texts(data, off, back, size)
+            _, _, _, doc, h1, _ = t.segments(data, off)
+            part = rare.slice(lo, hi - lo).flatten()
+            own = Lexicon(t, np.asarray(part.field(0), dtype=np.int64), *_flat(part.field(1))) if len(part) else None
+            at = known.find(h1)
+            n, first, words = known.n, known.at, known.ids
+            if own is not None:
+                other = own.find(h1)
+                at = np.where(at >= 0, at, np.where(other >= 0, other + len(n), -1))
+                n = np.concatenate([n, own.n])
+                first = np.concatenate([first, own.at + len(words)])
+                words = np.concatenate([words, own.ids])
+            if len(at) and at.min() < 0:
+                raise RuntimeError("a segment is in no lexicon: the texts changed between two reads")
+            each = n[at] if len(at) else np.zeros(0, np.int64)
+            ids = words[np.repeat((first[at] if len(at) else each) - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
+            count = np.bincount(doc, weights=each, minlength=hi - lo).astype(np.int64)
+            back, size = t.decode(ids, count)
             null = np.array(text.slice(lo, hi - lo).is_null())
             o = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(o, mask=np.append(null, False)), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [v.slice(lo, hi - lo) for _, v in others]
-                + [lists, pa.array(count, pa.int64(), mask=null), pa.array(ok, mask=null)],
-                [c for c, _ in others] + ["ids", "n_pieces", "round_trip"])
+                [b.column(b.schema.get_field_index("row")).slice(lo, hi - lo),
+                 pa.ListArray.from_arrays(pa.array(o, mask=np.append(null, False)), pa.array(ids, pa.int32())),
+                 pa.array(count, pa.int64(), mask=null), pa.array(_equal_texts(data, off, back, size), mask=null)],
+                ["row", "ids", "n_pieces", "round_trip"])
 
 
 def _equal_texts(data, off, back, size) -> np.ndarray:
@@ -337,36 +522,66 @@ def _equal_texts(data, off, back, size) -> np.ndarray:
 
 
 def _decode(batches, model, table) -> Iterator[pa.RecordBatch]:
-    lat = _lattice(model, table)
+    t = _pieces(model, table)
     for b in batches:
-        col = b.column(b.schema.get_field_index("ids"))
-        others = [(f.name, b.column(i)) for i, f in enumerate(b.schema) if f.name != "ids"]
         texts = []
-        for ids in col.to_pylist():
+        for ids in b.column(b.schema.get_field_index("ids")).to_pylist():
             if ids is None:
                 texts.append(None)
                 continue
-            out, _ = lat.decode(np.array(ids, dtype=np.int64), np.array([len(ids)]))
+            out, _ = t.decode(np.array(ids, dtype=np.int64), np.array([len(ids)]))
             texts.append(out.tobytes().decode("utf-8", "replace"))
-        yield pa.RecordBatch.from_arrays([v for _, v in others] + [pa.array(texts, pa.string())],
-                                         [c for c, _ in others] + ["text"])
+        yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("row")), pa.array(texts, pa.string())], ["row", "text"])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _row(df: DataFrame, read: str, made: list[str]) -> Column:
+    """The other columns as one, of any names, behind a flag that keeps it from being empty."""
+    taken = {c.lower() for c in [read, *made]}
+    flag = "_" * (1 + max(map(len, df.columns)))
+    return F.struct(F.lit(0).alias(flag), *(F.col(_quoted(c)) for c in df.columns if c.lower() not in taken)).alias("row")
 
 
-def _schema(df: DataFrame, drop: str, add: str) -> str:
-    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != drop), add])
+def _unpacked(out: DataFrame, made: list[str]) -> DataFrame:
+    return out.select(*(F.col(f"row.{_quoted(f.name)}") for f in out.schema["row"].dataType.fields[1:]), *made)
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, hot: int = HOT) -> DataFrame:
     """Replace ``text`` by ``ids``, ``n_pieces`` and ``round_trip``."""
-    ship(docs.sparkSession)
-    # the piece table has the size of the vocabulary
-    shared = docs.sparkSession.sparkContext.broadcast(piece_table(model))
-    return docs.mapInArrow(lambda it: _encode(it, model, shared.value),
-                           _schema(docs, "text", "ids array<int>, n_pieces long, round_trip boolean"))
+    spark = docs.sparkSession
+    ship(spark)
+    table = piece_table(model)
+    shared = spark.sparkContext.broadcast(table)   # the size of the vocabulary
+    text = docs.select("text")
+    segments = materialise(text.mapInArrow(
+        lambda it: _segments(it, model, shared.value), "h1 long, h2 long, segment string, n long")
+        .groupBy("h1", "h2", "segment").agg(F.sum("n").alias("n")), "sp-segments")
+    tasks = max(1, math.ceil(segments.count() / TASK_SEGMENTS))
+    lexicon = materialise(lattice(segments.repartition(tasks, "h1", "h2", "n"), model), "sp-lexicon")
+    top = _most_frequent(lexicon, hot).select("h1", "ids").toArrow()   # at most ``hot`` rows of HOT_IDS ids
+    name = uuid.uuid4().hex
+    frequent = spark.sparkContext.broadcast((top["h1"].to_numpy(), *_flat(top["ids"])))
+    keyed = docs.select(_row(docs, "text", ["ids", "n_pieces", "round_trip"]), "text",
+                        F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
+    rare = keyed.select("text", "t1", "t2").mapInArrow(
+        lambda it: _rare(it, model, shared.value, name, frequent.value), "t1 long, t2 long, h1 long, h2 long")
+    lists = rare.join(lexicon.select("h1", "h2", "ids"), ["h1", "h2"]).groupBy("t1", "t2").agg(
+        F.collect_set(F.struct("h1", "ids")).alias("rare"))
+    rows = keyed.join(lists, ["t1", "t2"], "left").select("row", "text", F.coalesce(
+        "rare", F.array().cast("array<struct<h1:bigint,ids:array<int>>>")).alias("rare"))
+    out = rows.mapInArrow(lambda it: _encode(it, model, shared.value, name, frequent.value),
+                          StructType([rows.schema["row"]]).add("ids", ArrayType(IntegerType())).add("n_pieces", "long")
+                          .add("round_trip", "boolean"))
+    return _unpacked(out, ["ids", "n_pieces", "round_trip"])
 
 
 def decode(rows: DataFrame, model: str = MODEL) -> DataFrame:
     """Replace ``ids`` by ``text``."""
     ship(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(piece_table(model))
-    return rows.mapInArrow(lambda it: _decode(it, model, shared.value), _schema(rows, "ids", "text string"))
+    keyed = rows.select(_row(rows, "ids", ["text"]), "ids")
+    return _unpacked(keyed.mapInArrow(
+        lambda it: _decode(it, model, shared.value), StructType([keyed.schema["row"]]).add("text", "string")), ["text"])

@@ -174,24 +174,69 @@ def test_shrinkage_strength():
 
 
 # --------------------------------------------------------------- 3 SentencePiece
-def test_sentencepiece_equals_library(spark):
-    import sentencepiece as lib
-    sp = lib.SentencePieceProcessor(model_file=sentencepiece.MODEL)
+def odd_texts():
     r = random.Random(3)
     parts = ["the", "ing", " ", "   ", "er", "é", "\n", "2024", "!!", "ß", "日", "😀", "\t", "ABC", "http://", "x" * 40]
     rows = [(i, "".join(r.choice(parts) for _ in range(r.randint(0, 50)))) for i in range(200)]
-    rows += [(None, None), (300, ""), (301, " " * 37), (302, "a" + " " * 20 + "b"), (303, "word " * 20000)]
-    out = sentencepiece.encode(frame(spark, rows))
+    return rows + [(None, None), (300, ""), (301, " " * 37), (302, "a" + " " * 20 + "b"), (303, "word " * 20000),
+                   (304, "ab" * 9000 + "a" * 5001), (305, "-" * 4000 + "=" * 3000), (306, " " * 5000 + "end")]
+
+
+@pytest.mark.parametrize("hot", [sentencepiece.HOT, 20, 0])
+def test_sentencepiece_equals_library(spark, hot):
+    import sentencepiece as lib
+    sp = lib.SentencePieceProcessor(model_file=sentencepiece.MODEL)
+    texts = dict(odd_texts())
+    twice = frame(spark, [*texts.items()]).union(frame(spark, [*texts.items()]))
+    out = sentencepiece.encode(twice, hot=hot)
     got = out.select("doc_id", "ids", "n_pieces", "round_trip").collect()
-    texts = dict(rows)
+    assert Counter(g.doc_id for g in got) == Counter({d: 2 for d in texts})
     for g in got:
         t = texts[g.doc_id]
         if t is None:
             assert g.ids is None and g.n_pieces is None
         else:
             assert g.ids == sp.encode(t) and g.n_pieces == len(g.ids) and g.round_trip
-    back = {x.doc_id: x.text for x in sentencepiece.decode(out.select("doc_id", "ids")).collect()}
-    assert back == texts
+    if hot == 20:
+        back = {x.doc_id: x.text for x in sentencepiece.decode(out.select("doc_id", "ids")).collect()}
+        assert back == texts
+
+
+def test_stable_pairs_equal_merging():
+    table = sentencepiece.piece_table()
+    pairs = sentencepiece.Pairs(table)
+    rank = {p: k for k, (_, p) in enumerate(sorted((-s, p) for _, p, s, b in table if b < 0))}
+    text = {i: p for p, i in pairs.id.items()}
+    r = random.Random(4)
+    short = [i for i, p in text.items() if len(p) <= 3]
+    same = [i for i, p in text.items() if len(set(p)) == 1 and len(p) > 1]
+    left = r.choices(short, k=8000) + r.choices(list(text), k=4000) + [a for a in same for _ in same]
+    right = r.choices(short, k=4000) + r.choices(list(text), k=8000) + [b for _ in same for b in same]
+    left, right = left[:30000], right[:30000]
+    want = [not any(a < len(text[x]) < e for _, a, _, e in sentencepiece.merges(text[x] + text[y], rank))
+            for x, y in zip(left, right)]
+    assert pairs(np.array(left), np.array(right)).tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_sentencepiece_lattice_is_relational(spark):
+    seg = spark.createDataFrame([(1, 1, "▁the", 1)], "h1 long, h2 long, segment string, n long")
+    plan = sentencepiece.lattice(seg.repartition(2, "h1", "h2", "n"))._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan =="):]
+    # substrings, equi-join to the pieces, grouping without another exchange, fold
+    assert "Generate explode" in physical and "BroadcastHashJoin [piece" in physical
+    assert physical.count("Exchange hashpartitioning") == 1 and "aggregate(sequence" in physical
+
+
+def test_sentencepiece_clashing_names(spark):
+    docs = frame(spark, [(1, "the end"), (2, None)]).selectExpr(
+        "doc_id", "text", "7 as h1", "8 as row", "9 as rare", "'x' as ids", "1 as t1", "0 as n_pieces", "5 as `a.b`", "6 as `0`")
+    out = sentencepiece.encode(docs)
+    assert out.columns == ["doc_id", "h1", "row", "rare", "t1", "a.b", "0", "ids", "n_pieces", "round_trip"]
+    got = {r.doc_id: r for r in out.collect()}
+    assert (got[1].h1, got[1].row, got[1].rare, got[1].t1, got[1]["a.b"], got[1]["0"]) == (7, 8, 9, 1, 5, 6)
+    assert got[1].round_trip and got[1].n_pieces == len(got[1].ids) and got[2].ids is None
+    text = sentencepiece.decode(out)
+    assert {r.doc_id: r.text for r in text.collect()} == {1: "the end", 2: None} and "row" in text.columns
 
 
 # ------------------------------------------------------------------ 5 language
