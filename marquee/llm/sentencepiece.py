@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructType
 
 from marquee.llm import scan
-from marquee.llm.common import materialise, ship
+from marquee.llm.common import drop_table, free_shuffles, materialise, ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = 0x2581
@@ -213,6 +213,8 @@ class Pieces:
         self.cls = np.zeros(0x110000, dtype=np.int32)   # 0: no neighbours in any piece
         for c in list(root):
             self.cls[ord(c)] = number.setdefault(find(c), len(number) + 1)
+        every = np.arange(len(self.cls), dtype=U64)
+        self.value = [scan.mix(every + U64(k)) for k in (1, 0x2545F4914F6CDD1D)]
         size = max(i for i, *_ in table) + 1
         self.byte_id = np.zeros(256, dtype=np.int64)
         raw = [b""] * size
@@ -244,9 +246,7 @@ class Pieces:
         first = np.flatnonzero(new)
         width = np.diff(np.append(first, len(cp)))
         step = scan.powers(int(width.max()) + 1)[np.arange(len(cp)) - np.repeat(first, width) + 1]
-        c = cp.astype(U64)
-        h1, h2 = (scan.mix(np.add.reduceat(scan.mix(c + U64(k)) * step, first) + width.astype(U64)).view(np.int64)
-                  for k in (1, 0x2545F4914F6CDD1D))
+        h1, h2 = (scan.mix(np.add.reduceat(v[cp] * step, first) + width.astype(U64)).view(np.int64) for v in self.value)
         return cp, first, width, np.searchsorted(edge, first, "right") - 1, h1, h2
 
     def masks(self, edges: pa.ListArray) -> pa.ListArray:
@@ -413,10 +413,10 @@ def lattice(segments: DataFrame, model: str = MODEL) -> DataFrame:
     at = window.select("h1", "h2", "n", "c", "window", F.explode(
         F.sequence(F.lit(0), F.least(F.lit(WINDOW), F.length("window")) - 1)).alias("at"))
     # windows overlap by the longest piece; the next one begins where this one's starts end
-    at = at.filter("at < length(window)")
-    strings = at.select("h1", "h2", "n", (F.col("c") * F.lit(WINDOW).cast("long") + F.col("at")).alias("start"), F.explode(
-        F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("window") - F.col("at"))),
-                    lambda k: F.substring(F.col("window"), F.col("at") + 1, k))).alias("piece"))
+    strings = at.select("h1", "h2", "n", "c", "window", "at", F.explode(
+        F.sequence(F.lit(1), F.least(F.lit(longest), F.length("window") - F.col("at")))).alias("k")).select(
+        "h1", "h2", "n", (F.col("c") * F.lit(WINDOW).cast("long") + F.col("at")).alias("start"),
+        F.substring(F.col("window"), F.col("at") + 1, F.col("k")).alias("piece"))
     ln = F.length("piece")
     edge = strings.join(pieces, "piece", "left").filter((F.col("id").isNotNull()) | (ln == 1)).select(
         "h1", "h2", "n", F.shiftleft("start", 26).bitwiseOR(F.shiftleft((ln - 1).cast("long"), ID_BITS)).bitwiseOR(
@@ -465,8 +465,9 @@ def _rare(batches, model, table, name, hot) -> Iterator[pa.RecordBatch]:
         for lo, _, data, off in scan.slices(b.column(0)):
             _, _, _, doc, h1, h2 = t.segments(data, off)
             on = np.flatnonzero(known.find(h1) < 0)
-            _, pick = np.unique(np.stack([doc[on], h1[on], h2[on]]), axis=1, return_index=True)
-            on = on[pick]
+            on = on[np.lexsort((h1[on], doc[on]))]
+            if len(on):
+                on = on[np.append(True, (doc[on[1:]] != doc[on[:-1]]) | (h1[on[1:]] != h1[on[:-1]]))]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t1[lo + doc[on]], t2[lo + doc[on]], h1[on], h2[on])],
                                              ["t1", "t2", "h1", "h2"])
 
@@ -561,6 +562,8 @@ def encode(docs: DataFrame, model: str = MODEL, hot: int = HOT) -> DataFrame:
         .groupBy("h1", "h2", "segment").agg(F.sum("n").alias("n")), "sp-segments")
     tasks = max(1, math.ceil(segments.count() / TASK_SEGMENTS))
     lexicon = materialise(lattice(segments.repartition(tasks, "h1", "h2", "n"), model), "sp-lexicon")
+    drop_table(spark, segments)
+    free_shuffles(spark)
     top = _most_frequent(lexicon, hot).select("h1", "ids").toArrow()   # at most ``hot`` rows of HOT_IDS ids
     name = uuid.uuid4().hex
     frequent = spark.sparkContext.broadcast((top["h1"].to_numpy(), *_flat(top["ids"])))
