@@ -60,6 +60,8 @@ LONGEST = 16
 HOT, HOT_IDS = 1 << 19, 32
 #: segments of one task of the lattice; characters of a window; edges of one inner fold
 TASK_SEGMENTS, WINDOW, BLOCK = 40_000, 256, 1024
+#: texts with more copies than COPIES are dealt over SALTS tasks, the COPIED most frequent ones
+COPIES, COPIED, SALTS = 256, 1000, 64
 NEVER = 1 << 30
 U64 = np.uint64
 
@@ -550,7 +552,7 @@ def _unpacked(out: DataFrame, made: list[str]) -> DataFrame:
     return out.select(*(F.col(f"row.{_quoted(f.name)}") for f in out.schema["row"].dataType.fields[1:]), *made)
 
 
-def encode(docs: DataFrame, model: str = MODEL, hot: int = HOT) -> DataFrame:
+def encode(docs: DataFrame, model: str = MODEL, hot: int = HOT, copies: int = COPIES) -> DataFrame:
     """Replace ``text`` by ``ids``, ``n_pieces`` and ``round_trip``."""
     spark = docs.sparkSession
     ship(spark)
@@ -573,7 +575,14 @@ def encode(docs: DataFrame, model: str = MODEL, hot: int = HOT) -> DataFrame:
         lambda it: _rare(it, model, shared.value, name, frequent.value), "t1 long, t2 long, h1 long, h2 long")
     lists = rare.join(lexicon.select("h1", "h2", "ids"), ["h1", "h2"]).groupBy("t1", "t2").agg(
         F.collect_set(F.struct("h1", "ids")).alias("rare"))
-    rows = keyed.join(lists, ["t1", "t2"], "left").select("row", "text", F.coalesce(
+    # texts of many copies are dealt over SALTS tasks; beyond the first COPIED none holds 0.1 % of the rows
+    copied = F.broadcast(keyed.groupBy("t1", "t2").count().orderBy(F.desc("count"), "t1", "t2").limit(COPIED)
+                         .filter(F.col("count") > copies).select("t1", "t2", F.lit(SALTS).alias("salts")))
+    salted = keyed.join(copied, ["t1", "t2"], "left").withColumn(
+        "salt", F.coalesce(F.monotonically_increasing_id() % F.col("salts"), F.lit(0).cast("long")))
+    dealt = lists.join(copied, ["t1", "t2"], "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)).cast("long") - 1)))
+    rows = salted.join(dealt, ["t1", "t2", "salt"], "left").select("row", "text", F.coalesce(
         "rare", F.array().cast("array<struct<h1:bigint,ids:array<int>>>")).alias("rare"))
     out = rows.mapInArrow(lambda it: _encode(it, model, shared.value, name, frequent.value),
                           StructType([rows.schema["row"]]).add("ids", ArrayType(IntegerType())).add("n_pieces", "long")
