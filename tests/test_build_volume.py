@@ -63,6 +63,26 @@ def test_principals_of_odd_lines(spark, sf, no_broadcast):
     assert "l_linestatus" not in df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
 
 
+def test_statistics_move_credits_once(spark, no_broadcast):
+    person = "array<struct<id string, gender string>>"
+    movies = spark.createDataFrame([
+        ("m1", "A", 7.5, 100, 2000, [("p", "Male"), ("q", "Female"), ("p", "Female")]),
+        ("m1", "A", 7.5, 100, 2000, [("p", "Male")]),                    # the id again
+        ("m2", "B", 7.5, 100, 1990, [("p", "Male"), (None, "Male")]),
+        (None, "C", 1.0, 1, 1980, [("q", None)]), ("m3", "D", 9.0, 5, 2010, [])],
+        f"movie_id string, title string, average_rating double, num_votes bigint, release_year int, actors {person}")
+    stats = career_stats(person_movie_rows(movies, "actors", 1, with_gender=True), lead=True, gender=True)
+    got = {r.person_id: r for r in stats.collect()}
+    assert set(got) == {"p", "q"}
+    p, q = got["p"], got["q"]
+    assert (p.total_movies, p.total_votes, p.avg_movie_rating, p.best_movie_id, p.best_movie_title) == (2, 400, 7.5, "m1", "A")
+    assert (p.first_movie_year, p.latest_movie_year, p.best_movie_year, p.genders) == (1990, 2000, 2000, ["Female", "Male"])
+    assert (q.total_movies, q.total_votes, q.best_movie_rating, q.lead_role_count, q.genders) == (1, 101, 7.5, 1, ["Female"])
+    by_movie, by_person = _exchanges(stats)[::-1]
+    assert "hashpartitioning(movie_id" in by_movie and "hashpartitioning(person_id" in by_person
+    assert "REPARTITION" in by_movie       # arrays, before they are exploded
+
+
 def test_tables_are_saved_together(spark, tmp_path):
     both, met = threading.Barrier(2, timeout=60), []
 
