@@ -63,6 +63,15 @@ def test_principals_of_odd_lines(spark, sf, no_broadcast):
     assert "l_linestatus" not in df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
 
 
+def test_crew_by_one_shuffle_of_its_pairs(spark, sf, no_broadcast):
+    df = bindings.title_crew(spark, sf)
+    assert {tuple(r) for r in df.collect()} == {
+        ("tt0000005", "nm0000002,nm0000029,nm12345678", "\\N"), ("tt0000006", "nm0000007", "\\N"),
+        ("tt0000007", "", "\\N"), ("tt0000008", "\\N", "\\N")}
+    # lines and orders by order, pairs and parts by part
+    assert len(_exchanges(df)) == 4
+
+
 def test_statistics_move_credits_once(spark, no_broadcast):
     person = "array<struct<id string, gender string>>"
     movies = spark.createDataFrame([
@@ -97,5 +106,6 @@ def test_tables_are_saved_together(spark, tmp_path):
         w.load_bronze(Tables(a=spark.range(3), b=normalize_na(spark.range(5).select(F.col("id").cast("string")))))
         assert sorted(met) == ["a", "b"] and w.rows == {"a": 3, "b": 5} and list(w.rows) == ["a", "b"]
         assert w.table("b").count() == 5
+        assert list((tmp_path / "w" / "a").glob("*.zstd.parquet"))
     finally:
         w.drop()
