@@ -92,6 +92,15 @@ def test_statistics_move_credits_once(spark, no_broadcast):
     assert "REPARTITION" in by_movie       # arrays, before they are exploded
 
 
+def test_sort_keys_in_the_struct_travel_once(spark):
+    rows = spark.createDataFrame([("t", "b", "1", 5), ("t", "a", "2", None), ("t", "a", None, 7), ("u", None, "3", 1)],
+                                 "g string, name string, id string, y int")
+    plain = nest_ordered(rows, "g", ["name", "id"], [F.col("id").alias("i"), F.col("name").alias("n"), F.col("y")], "a")
+    once = nest_ordered(rows, "g", ["name", "id"], [F.col("y")], "a", {"i": 1, "n": 0})
+    assert once.schema["a"].dataType.simpleString() == plain.schema["a"].dataType.simpleString()
+    assert {r.g: r.a for r in once.collect()} == {r.g: r.a for r in plain.collect()}
+
+
 def test_tables_are_saved_together(spark, tmp_path):
     both, met = threading.Barrier(2, timeout=60), []
 
