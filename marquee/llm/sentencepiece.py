@@ -37,7 +37,6 @@ characters; a piece table with longer ones is refused.
 from __future__ import annotations
 
 import heapq
-import math
 import uuid
 from collections.abc import Iterator
 
@@ -58,12 +57,16 @@ ID_BITS = 22
 LONGEST = 16
 #: broadcast segments and the pieces of one of them
 HOT, HOT_IDS = 1 << 19, 32
-#: segments of one task of the lattice; characters of a window; edges of one inner fold
-TASK_SEGMENTS, WINDOW, BLOCK = 40_000, 256, 1024
+#: characters of a window; edges of one inner fold
+WINDOW, BLOCK = 256, 1024
 #: texts with more copies than COPIES are dealt over SALTS tasks, the COPIED most frequent ones
 COPIES, COPIED, SALTS = 256, 1000, 64
+#: code points of distinct segments that a task holds
+HELD = 1 << 22
 NEVER = 1 << 30
 U64 = np.uint64
+#: powers of the inverse of the step of scan.powers
+_back = np.ones(1, dtype=U64)
 
 
 def piece_table(path: str = MODEL) -> list[tuple[int, str, float, int]]:
@@ -192,6 +195,17 @@ class Pairs:
         return self.stable[at][inv]
 
 
+def _key(sums: np.ndarray, first: np.ndarray, width: np.ndarray) -> np.ndarray:
+    """Keys of segments from sums that count a segment's n-th code point by power ``first`` + n."""
+    global _back
+    if len(first) and len(_back) <= first[-1]:
+        n = max(int(first[-1]) + 1, 2 * len(_back))
+        step = np.full(n, pow(int(scan.powers(2)[1]), -1, 1 << 64), dtype=U64)
+        step[0] = 1
+        _back = np.cumprod(step, dtype=U64)
+    return scan.mix(sums * _back[first] + width.astype(U64)).view(np.int64)
+
+
 class Pieces:
     """What tasks need of a piece table besides the join: classes, bytes and pairs."""
 
@@ -229,14 +243,14 @@ class Pieces:
         self.raw = np.frombuffer(b"".join(raw), dtype=np.uint8)
 
     def segments(self, data: np.ndarray, off: np.ndarray):
-        """Code points of UTF-8 texts, each not empty one behind a blank, and their
-        segments: first code point, length, text, and the two halves of the key."""
+        """Code points of UTF-8 texts, each not empty one behind a blank, and their segments:
+        first code point, length and first half of the key; where each text's segments end."""
         size = np.diff(off) + (np.diff(off) > 0)
         raw = np.insert(data, off[np.flatnonzero(off[1:] > off[:-1])], 0x20)
         cp = np.frombuffer(raw.tobytes().decode("utf-8", "replace").encode("utf-32-le"), dtype=np.uint32).copy()
         none = np.zeros(0, np.int64)
         if not len(cp):
-            return cp, none, none, none, none, none
+            return cp, none, none, none, np.zeros(len(off), np.int64)
         chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
         edge = chars[np.concatenate([[0], np.cumsum(size)])]
         cp[cp == 0x20] = BLANK
@@ -247,9 +261,17 @@ class Pieces:
         new[edge[:-1][np.diff(edge) > 0]] = True
         first = np.flatnonzero(new)
         width = np.diff(np.append(first, len(cp)))
-        step = scan.powers(int(width.max()) + 1)[np.arange(len(cp)) - np.repeat(first, width) + 1]
-        h1, h2 = (scan.mix(np.add.reduceat(v[cp] * step, first) + width.astype(U64)).view(np.int64) for v in self.value)
-        return cp, first, width, np.searchsorted(edge, first, "right") - 1, h1, h2
+        key = np.add.reduceat(self.value[0][cp] * scan.powers(len(cp)), first)
+        return cp, first, width, _key(key, first, width), np.searchsorted(first, edge)
+
+    def second(self, cp: np.ndarray, first: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The other half of the key of some segments, and their code points."""
+        if not len(first):
+            return np.zeros(0, np.int64), cp[:0]
+        at = np.cumsum(width) - width
+        pos = np.repeat(first - at, width) + np.arange(int(width.sum()))
+        part = cp[pos]
+        return _key(np.add.reduceat(self.value[1][part] * scan.powers(len(cp))[pos], at), first, width), part
 
     def masks(self, edges: pa.ListArray) -> pa.ListArray:
         """Edges (start, length, piece) of each segment in the order of their ends, with
@@ -285,8 +307,10 @@ class Pieces:
         if len(k):
             ok = self.pairs(p, piece[e])
             np.bitwise_or.at(mask, e[ok], 1 << k[ok])
+        # an edge without a bit is on no path
+        some = np.flatnonzero(mask)
         out = ((piece << 1 | end & 1) << 4 | ln - 1) << 16 | mask
-        return pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(out, pa.int64()))
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(some, off), pa.int32()), pa.array(out[some], pa.int64()))
 
     def spelled(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids in which characters without a piece are their bytes, and the counts."""
@@ -318,22 +342,55 @@ class Pieces:
         return out, total
 
 
+class Places:
+    """Places of keys, which are hashes themselves, in an open hash table."""
+
+    def __init__(self, key: np.ndarray):
+        self.n, self.key, self.place = 0, np.zeros(1, np.int64), np.full(1, -1, np.int32)
+        self.add(key)
+
+    def add(self, key: np.ndarray) -> None:
+        """The next places for new keys; of equal ones any place counts."""
+        if 2 * (self.n + len(key)) >= len(self.key):
+            used = self.place >= 0
+            old, place = self.key[used], self.place[used]
+            size = 1 << int(4 * (self.n + len(key)) + 1).bit_length()
+            self.key, self.place = np.zeros(size, np.int64), np.full(size, -1, np.int32)
+            self._put(old, place)
+        self._put(key, np.arange(self.n, self.n + len(key), dtype=np.int32))
+        self.n += len(key)
+
+    def _put(self, key: np.ndarray, place: np.ndarray) -> None:
+        mask = len(self.key) - 1
+        slot = key & mask
+        while len(key):
+            free = self.place[slot] < 0
+            self.key[slot[free]], self.place[slot[free]] = key[free], place[free]
+            on = self.key[slot] != key
+            key, place, slot = key[on], place[on], slot[on] + 1 & mask
+
+    def find(self, key: np.ndarray) -> np.ndarray:
+        """Place of each key, or -1."""
+        mask = len(self.key) - 1
+        slot = key & mask
+        at = self.place[slot]
+        on = np.flatnonzero((at >= 0) & (self.key[slot] != key))
+        slot = slot[on]
+        while len(on):
+            slot = slot + 1 & mask
+            at[on] = self.place[slot]
+            more = (at[on] >= 0) & (self.key[slot] != key[on])
+            on, slot = on[more], slot[more]
+        return at
+
+
 class Lexicon:
-    """Ids of segments by the first half of their keys, sorted."""
+    """Ids of segments by the first half of their keys."""
 
     def __init__(self, pieces: Pieces, key: np.ndarray, ids: np.ndarray, count: np.ndarray):
         ids, count = pieces.spelled(ids, count)
-        order = np.argsort(key, kind="stable")
-        self.key, self.n = key[order], count[order]
-        self.at = (np.cumsum(count) - count)[order]
-        self.ids = ids.astype(np.int32)
-
-    def find(self, key: np.ndarray) -> np.ndarray:
-        """Place of each key, or -1."""
-        if not len(self.key):
-            return np.full(len(key), -1)
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, at, -1)
+        self.n, self.at, self.ids = count, np.cumsum(count) - count, ids.astype(np.int32)
+        self.find = Places(key).find
 
 
 _PIECES: dict[str, Pieces] = {}
@@ -356,24 +413,37 @@ def _hot(pieces: Pieces, name: str, hot) -> Lexicon:
 
 
 def _segments(batches, model, table) -> Iterator[pa.RecordBatch]:
-    """Distinct segments of each slice and how often they occur."""
+    """Distinct segments of some slices at a time and how often they occur."""
     t = _pieces(model, table)
+
+    def batch(parts, n):
+        h1, h2, width, text = (np.concatenate(x) for x in zip(*parts))
+        flat = np.frombuffer(text.tobytes().decode("utf-32-le").encode(), dtype=np.uint8)
+        chars = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))
+        o = chars[np.append(np.cumsum(width) - width, len(text))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h1), pa.array(h2), pa.LargeStringArray.from_buffers(
+                len(h1), pa.py_buffer(o.astype(np.int64)), pa.py_buffer(flat)).cast(pa.string()), pa.array(n)],
+            ["h1", "h2", "segment", "n"])
+
+    known, parts, n = Places(np.zeros(0, np.int64)), [], np.zeros(0, np.int64)
     for b in batches:
         for _, _, data, off in scan.slices(b.column(0)):
-            cp, first, width, _, h1, h2 = t.segments(data, off)
+            cp, first, width, h1, _ = t.segments(data, off)
             if not len(first):
                 continue
-            _, pick, n = np.unique(h1 ^ (h2 << 1), return_index=True, return_counts=True)
-            size = width[pick]
-            at = np.cumsum(size) - size
-            text = cp[np.repeat(first[pick] - at, size) + np.arange(int(size.sum()))]
-            flat = np.frombuffer(text.tobytes().decode("utf-32-le").encode(), dtype=np.uint8)
-            chars = np.append(np.flatnonzero((flat & 0xC0) != 0x80), len(flat))
-            o = chars[np.append(at, len(text))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h1[pick]), pa.array(h2[pick]), pa.LargeStringArray.from_buffers(
-                    len(pick), pa.py_buffer(o.astype(np.int64)), pa.py_buffer(flat)).cast(pa.string()), pa.array(n)],
-                ["h1", "h2", "segment", "n"])
+            at = known.find(h1)
+            new = np.flatnonzero(at < 0)
+            key, pick, count = np.unique(h1[new], return_index=True, return_counts=True)
+            n = np.concatenate([n + np.bincount(at[at >= 0], minlength=len(n)), count])
+            known.add(key)
+            h2, text = t.second(cp, first[new[pick]], width[new[pick]])
+            parts.append((key, h2, width[new[pick]], text))
+            if sum(len(x[3]) for x in parts) >= HELD:
+                yield batch(parts, n)
+                known, parts, n = Places(np.zeros(0, np.int64)), [], np.zeros(0, np.int64)
+    if parts:
+        yield batch(parts, n)
 
 
 def _with_masks(batches, model, table) -> Iterator[pa.RecordBatch]:
@@ -465,12 +535,16 @@ def _rare(batches, model, table, name, hot) -> Iterator[pa.RecordBatch]:
     for b in batches:
         t1, t2 = (np.asarray(b.column(i), dtype=np.int64) for i in (1, 2))
         for lo, _, data, off in scan.slices(b.column(0)):
-            _, _, _, doc, h1, h2 = t.segments(data, off)
+            cp, first, width, h1, edge = t.segments(data, off)
             on = np.flatnonzero(known.find(h1) < 0)
-            on = on[np.lexsort((h1[on], doc[on]))]
+            doc = np.searchsorted(edge, on, "right") - 1
+            order = np.lexsort((h1[on], doc))
+            on, doc = on[order], doc[order]
             if len(on):
-                on = on[np.append(True, (doc[on[1:]] != doc[on[:-1]]) | (h1[on[1:]] != h1[on[:-1]]))]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t1[lo + doc[on]], t2[lo + doc[on]], h1[on], h2[on])],
+                new = np.append(True, (doc[1:] != doc[:-1]) | (h1[on[1:]] != h1[on[:-1]]))
+                on, doc = on[new], doc[new]
+            h2, _ = t.second(cp, first[on], width[on])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t1[lo + doc], t2[lo + doc], h1[on], h2)],
                                              ["t1", "t2", "h1", "h2"])
 
 
@@ -481,28 +555,34 @@ def _flat(col) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(col.values.slice(int(off[0]), int(off[-1] - off[0])), dtype=np.int64), np.diff(off)
 
 
+#: a text's segments that are not broadcast: keys, numbers of pieces, pieces
+RARE = {"rare_key": "bigint", "rare_n": "int", "rare_ids": "int"}
+
+
 def _encode(batches, model, table, name, hot) -> Iterator[pa.RecordBatch]:
     t = _pieces(model, table)
     known = _hot(t, name, hot)
     for b in batches:
-        text, rare = b.column(b.schema.get_field_index("text")), b.column(b.schema.get_field_index("rare"))
+        text, *rare = (b.column(b.schema.get_field_index(c)) for c in ("text", *RARE))
         for lo, hi, data, off in scan.slices(text):
-            _, _, _, doc, h1, _ = t.segments(data, off)
-            part = rare.slice(lo, hi - lo).flatten()
-            own = Lexicon(t, np.asarray(part.field(0), dtype=np.int64), *_flat(part.field(1))) if len(part) else None
+            _, _, _, h1, edge = t.segments(data, off)
+            key, size, part = (np.asarray(c.slice(lo, hi - lo).flatten(), dtype=np.int64) for c in rare)
             at = known.find(h1)
             n, first, words = known.n, known.at, known.ids
-            if own is not None:
-                other = own.find(h1)
-                at = np.where(at >= 0, at, np.where(other >= 0, other + len(n), -1))
+            other = np.flatnonzero(at < 0)
+            if len(key):
+                own = Lexicon(t, key, part, size)
+                found = own.find(h1[other])
+                at[other] = np.where(found >= 0, found + len(n), -1)
                 n = np.concatenate([n, own.n])
                 first = np.concatenate([first, own.at + len(words)])
                 words = np.concatenate([words, own.ids])
-            if len(at) and at.min() < 0:
+            if len(other) and at[other].min() < 0:
                 raise RuntimeError("a segment is in no lexicon: the texts changed between two reads")
             each = n[at] if len(at) else np.zeros(0, np.int64)
-            ids = words[np.repeat((first[at] if len(at) else each) - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
-            count = np.bincount(doc, weights=each, minlength=hi - lo).astype(np.int64)
+            upto = np.concatenate([[0], np.cumsum(each)])
+            ids = words[np.repeat((first[at] if len(at) else each) - upto[:-1], each) + np.arange(int(upto[-1]))]
+            count = np.diff(upto[edge])
             back, size = t.decode(ids, count)
             null = np.array(text.slice(lo, hi - lo).is_null())
             o = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
@@ -559,12 +639,10 @@ def encode(docs: DataFrame, model: str = MODEL, hot: int = HOT, copies: int = CO
     table = piece_table(model)
     shared = spark.sparkContext.broadcast(table)   # the size of the vocabulary
     text = docs.select("text")
-    segments = materialise(text.mapInArrow(
+    # dealt by the key once, for counting and for the lattice
+    lexicon = materialise(lattice(text.mapInArrow(
         lambda it: _segments(it, model, shared.value), "h1 long, h2 long, segment string, n long")
-        .groupBy("h1", "h2", "segment").agg(F.sum("n").alias("n")), "sp-segments")
-    tasks = max(1, math.ceil(segments.count() / TASK_SEGMENTS))
-    lexicon = materialise(lattice(segments.repartition(tasks, "h1", "h2", "n"), model), "sp-lexicon")
-    drop_table(spark, segments)
+        .repartition("h1", "h2").groupBy("h1", "h2", "segment").agg(F.sum("n").alias("n")), model), "sp-lexicon", codec="zstd")
     free_shuffles(spark)
     top = _most_frequent(lexicon, hot).select("h1", "ids").toArrow()   # at most ``hot`` rows of HOT_IDS ids
     name = uuid.uuid4().hex
@@ -573,17 +651,24 @@ def encode(docs: DataFrame, model: str = MODEL, hot: int = HOT, copies: int = CO
                         F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
     rare = keyed.select("text", "t1", "t2").mapInArrow(
         lambda it: _rare(it, model, shared.value, name, frequent.value), "t1 long, t2 long, h1 long, h2 long")
-    lists = rare.join(lexicon.select("h1", "h2", "ids"), ["h1", "h2"]).groupBy("t1", "t2").agg(
-        F.collect_set(F.struct("h1", "ids")).alias("rare"))
+    # written before the texts are moved, so that all shuffle files up to here can go
+    lists = materialise(rare.join(lexicon.select("h1", "h2", "ids"), ["h1", "h2"]).groupBy("t1", "t2").agg(
+        F.collect_set(F.struct("h1", "ids")).alias("rare")), "sp-lists", codec="zstd")
+    del rare
+    drop_table(spark, lexicon)
+    free_shuffles(spark)
     # texts of many copies are dealt over SALTS tasks; beyond the first COPIED none holds 0.1 % of the rows
     copied = F.broadcast(keyed.groupBy("t1", "t2").count().orderBy(F.desc("count"), "t1", "t2").limit(COPIED)
                          .filter(F.col("count") > copies).select("t1", "t2", F.lit(SALTS).alias("salts")))
     salted = keyed.join(copied, ["t1", "t2"], "left").withColumn(
         "salt", F.coalesce(F.monotonically_increasing_id() % F.col("salts"), F.lit(0).cast("long")))
-    dealt = lists.join(copied, ["t1", "t2"], "left").withColumn(
+    # three flat lists take half the room of one of pairs
+    flat = lists.select("t1", "t2", F.col("rare.h1").alias("rare_key"), F.transform("rare.ids", F.size).alias("rare_n"),
+                        F.flatten("rare.ids").alias("rare_ids"))
+    dealt = flat.join(copied, ["t1", "t2"], "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("salts", F.lit(1)).cast("long") - 1)))
-    rows = salted.join(dealt, ["t1", "t2", "salt"], "left").select("row", "text", F.coalesce(
-        "rare", F.array().cast("array<struct<h1:bigint,ids:array<int>>>")).alias("rare"))
+    rows = salted.join(dealt, ["t1", "t2", "salt"], "left").select("row", "text", *(
+        F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c) for c, kind in RARE.items()))
     out = rows.mapInArrow(lambda it: _encode(it, model, shared.value, name, frequent.value),
                           StructType([rows.schema["row"]]).add("ids", ArrayType(IntegerType())).add("n_pieces", "long")
                           .add("round_trip", "boolean"))
