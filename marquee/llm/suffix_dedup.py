@@ -41,12 +41,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marquee.llm import scan
-from marquee.llm.common import drop_table, free_shuffles, iter_groups, materialise, ship
+from marquee.llm.common import drop_table, free_shuffles, materialise, ship
 
 GRAM = 32
 #: bytes that stand for a word where strings of words are looked for
@@ -223,59 +224,79 @@ def repeated_starts(text: np.ndarray, starts: np.ndarray, length: int) -> np.nda
     return out
 
 
-def _sort_block(block: list[tuple]) -> Iterator[tuple]:
-    """block of (bucket, ctx, r0, r1, bytes, length) -> repeated ranges."""
-    length = block[0][5]
-    sizes = np.array([len(x[4]) for x in block])
-    at = np.cumsum(sizes) - sizes
-    text = np.frombuffer(b"".join(x[4] for x in block), dtype=np.uint8)
-    count = sizes - length + 1
-    owner = np.repeat(np.arange(len(block)), count)
+def _sort_block(block: pa.Table, length: int) -> pa.RecordBatch:
+    """Contexts of whole buckets (bucket, ctx, r0, bytes) -> repeated ranges."""
+    bucket, ctx, r0 = (block.column(c).to_numpy() for c in ("bucket", "ctx", "r0"))
+    text, off = scan.flat(block.column("bytes").combine_chunks())
+    count = np.diff(off) - length + 1
+    owner = np.repeat(np.arange(len(count)), count)
     within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    hit = repeated_starts(text, at[owner] + within, length)
+    hit = repeated_starts(text, off[owner] + within, length)
     s, e = scan.runs(hit, np.concatenate([[0], np.cumsum(count)]))
-    for a, b in zip(s.tolist(), e.tolist()):
-        x = block[owner[a]]
-        r = x[2] + int(within[a])
-        yield x[0], x[1], r, r + (b - a) - 1
+    own = owner[s]
+    r = r0[own] + within[s]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[own]), pa.array(ctx[own]), pa.array(r, pa.int32()), pa.array(r + (e - s) - 1, pa.int32())],
+        ["bucket", "ctx", "f0", "f1"])
 
 
 def _sort_blocks(batches, length: int) -> Iterator[pa.RecordBatch]:
     """Buckets arrive together and sorted; small ones share a block."""
-    def emit(rows):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-             pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.int32())],
-            ["bucket", "ctx", "f0", "f1"])
-
-    held, size = [], 0
-    for t in iter_groups(batches, "bucket"):
-        rows = list(zip(*(t.column(c).to_pylist() for c in ("bucket", "ctx", "r0", "r1", "bytes"))))
-        held += [(*r, length) for r in rows]
-        size += sum(len(r[4]) for r in rows)
-        if size >= BLOCK_BYTES:
-            yield emit(list(_sort_block(held)))
-            held, size = [], 0
-    if held:
-        yield emit(list(_sort_block(held)))
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b.select(["bucket", "ctx", "r0", "bytes"])])
+        held = t if held is None else pa.concat_tables([held, t]).combine_chunks()
+        if held.num_rows:
+            # the last bucket may go on in the next batch
+            bucket = held.column("bucket").to_numpy()
+            whole = int(np.searchsorted(bucket, bucket[-1]))
+            yield from _in_blocks(held.slice(0, whole), length)
+            held = held.slice(whole)
+    if held is not None:
+        yield from _in_blocks(held, length)
+
+
+def _in_blocks(rows: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
+    """Whole buckets, sorted, in blocks of some ``BLOCK_BYTES``, one bucket at least."""
+    if not rows.num_rows:
+        return
+    bucket = rows.column("bucket").to_numpy()
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    size = np.cumsum(pc.binary_length(rows.column("bytes")).to_numpy())
+    upto = size[np.append(first[1:], len(bucket)) - 1]     # bytes up to the end of each bucket
+    block = np.append(0, upto[:-1]) // BLOCK_BYTES
+    edges = [*first[np.append(True, block[1:] != block[:-1])].tolist(), len(bucket)]
+    for lo, hi in zip(edges[:-1], edges[1:]):
+        yield _sort_block(rows.slice(lo, hi - lo), length)
 
 
 # ------------------------------------------------------------------ the join
+def _pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.BinaryArray:
+    """The bytes of each range."""
+    size = np.maximum(end - start, 0)
+    upto = np.concatenate([[0], np.cumsum(size)])
+    out = data[np.repeat(start - upto[:-1], size) + np.arange(int(upto[-1]))]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(out)])
+
+
 def _cut_contexts(batches, length: int, coded: bool = False) -> Iterator[pa.RecordBatch]:
     """Rows (text, wanted: list of bucket, ctx, anchor, r0, r1) -> bytes."""
     for b in batches:
-        text = b.column(b.schema.get_field_index("text")).cast(pa.large_binary()).to_pylist()
-        if coded:
-            text = [_codes(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0].tobytes() for t in text]
-        want = b.column(b.schema.get_field_index("wanted")).to_pylist()
-        rows = [(x["bucket"], x["ctx"], x["r0"], x["r1"], (t or b"")[x["anchor"] + x["r0"]:x["anchor"] + x["r1"] + length])
-                for t, ws in zip(text, want) for x in ws]
-        for lo in range(0, len(rows), 20000):
-            part = list(zip(*rows[lo:lo + 20000]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[0], pa.int64()), pa.array(part[1], pa.int64()), pa.array(part[2], pa.int32()),
-                 pa.array(part[3], pa.int32()), pa.array(part[4], pa.binary())],
-                ["bucket", "ctx", "r0", "r1", "bytes"])
+        wanted = b.column(b.schema.get_field_index("wanted"))
+        for lo, hi, data, off in scan.slices(b.column(b.schema.get_field_index("text"))):
+            if coded:
+                data, off = _codes(data, off)
+            part = wanted.slice(lo, hi - lo)
+            doc = np.repeat(np.arange(hi - lo), np.diff(np.asarray(part.offsets, dtype=np.int64)))
+            rows = part.flatten()
+            bucket, ctx, anchor, r0, r1 = (np.asarray(rows.field(i)) for i in range(5))
+            first = np.minimum(off[doc] + anchor + r0, off[doc + 1])
+            last = np.minimum(off[doc] + anchor + r1 + length, off[doc + 1])
+            for i in range(0, len(doc), 4000):
+                j = slice(i, i + 4000)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[j]), pa.array(ctx[j]), pa.array(r0[j], pa.int32()), pa.array(r1[j], pa.int32()),
+                     _pieces(data, first[j], last[j])], ["bucket", "ctx", "r0", "r1", "bytes"])
 
 
 def _identified(docs: DataFrame, *more: str) -> DataFrame:
@@ -348,58 +369,79 @@ def _ranges(base: DataFrame, length: int, max_contexts: int, coded: bool = False
     ), [rows, seen, cut]
 
 
-def _bytes_of(text: bytes, spans: list, words: int) -> Iterator[dict]:
-    """Ranges of word codes as byte ranges of the text; equal bytes of a word
-    that differs, before or after the words, do not count."""
-    data = np.frombuffer(text, np.uint8)
-    start, end = scan.runs(~scan.SPACE[data], np.array([0, len(data)]))
-    for x in spans:
-        a, b = -(-x["start"] // CODE), x["end"] // CODE
-        if b - a >= words:
-            yield {"start": int(start[a]), "end": int(end[b - 1])}
-
-
 SPANS = ("_spans", "_word_spans")
 
 
-def merged(spans: list | None) -> list[tuple[int, int]]:
-    """Sorted, disjoint and not touching."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted((s["start"], s["end"]) for s in spans or ()):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
-
+def _listed(spans: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end of the ranges of each row (null: none)."""
+    size = pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False)
+    flat = spans.flatten()
+    return np.repeat(np.arange(len(spans)), size), *(np.asarray(flat.field(i), dtype=np.int64) for i in (0, 1))
 
-def _cut(text: bytes | None, spans: list[tuple[int, int]]) -> bytes:
-    edges = [0, *(x for ab in spans for x in ab), len(text or b"")]
-    return b"".join((text or b"")[edges[i]:edges[i + 1]] for i in range(0, len(edges), 2))
 
-
-def _text(rest: bytes, text: bytes | None) -> str | None:
+def _bytes_of(data: np.ndarray, off: np.ndarray, row: np.ndarray, a: np.ndarray, b: np.ndarray, words: int):
+    """Ranges of word codes as byte ranges of the texts; equal bytes of a word
+    that differs, before or after the words, do not count."""
+    start, end = scan.runs(~scan.SPACE[data], off)
+    a, b = -(-a // CODE), b // CODE
+    on = b - a >= words
+    row, a, b = row[on], a[on], b[on]
+    first = np.searchsorted(start, off)[row]
+    return row, start[first + a] - off[row], end[first + b - 1] - off[row]
+
+
+def merged(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of each row sorted, disjoint and not touching."""
+    if not len(row):
+        return row, start, end
+    order = np.lexsort((start, row))
+    row, start, end = row[order], start[order], end[order]
+    room = int(end.max()) + 1
+    reach = np.maximum.accumulate(row * room + end)
+    i = np.flatnonzero(np.append(True, row[1:] * room + start[1:] > reach[:-1]))
+    j = np.append(i[1:], len(row)) - 1
+    return row[i], start[i], reach[j] - row[i] * room
+
+
+def _cut(data: np.ndarray, off: np.ndarray, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What is left of the texts, with offsets."""
+    edge = np.bincount(off[row] + start, minlength=len(data) + 1) - np.bincount(off[row] + end, minlength=len(data) + 1)
+    left = np.cumsum(edge)[:-1] == 0
+    return data[left], np.concatenate([[0], np.cumsum(left)])[off]
+
+
+def _texts(rest: np.ndarray, off: np.ndarray, null: np.ndarray) -> pa.Array:
     """A cut inside a code point leaves bytes that are no text."""
-    return rest.decode("utf-8", "ignore") if text is not None else None
+    raw, begin = rest.tobytes(), off[:-1][np.diff(off) > 0]
+    try:
+        raw.decode("utf-8")
+        valid = not ((rest[begin] & 0xC0) == 0x80).any()
+    except UnicodeDecodeError:
+        valid = False
+    if valid:
+        return pa.Array.from_buffers(pa.string(), len(null), [
+            pa.py_buffer(np.packbits(~null, bitorder="little")), pa.py_buffer(off.astype(np.int32)), pa.py_buffer(raw)])
+    return pa.array([None if x else raw[a:b].decode("utf-8", "ignore") for x, a, b in zip(null, off[:-1], off[1:])], pa.string())
 
 
 def _apply(batches, words: int, apart: bool) -> Iterator[pa.RecordBatch]:
     """``RESULTS`` of each row; ``apart``: figures and hash without the word spans."""
-    for big in batches:
-        for at in range(0, big.num_rows, 1000):
-            b = big.slice(at, 1000)
-            row, text, spans, coded = (b.column(b.schema.get_field_index(c)) for c in ("row", "text", *SPANS))
-            out: list[list] = [[] for _ in RESULTS]
-            for t, s, c in zip(text.cast(pa.large_binary()).to_pylist(), spans.to_pylist(), coded.to_pylist()):
-                every = merged([*(s or ()), *(_bytes_of(t, c, words) if c else ())])
-                own = merged(s) if apart else every
-                rest = _cut(t, own)
-                kept = _text(rest, t)
-                for x, v in zip(out, (len(t or b""), sum(y - x for x, y in own), len(own), hashlib.sha256(rest).hexdigest(),
-                                      kept, kept if own == every else _text(_cut(t, every), t))):
-                    x.append(v)
+    for b in batches:
+        row, text, spans, coded = (b.column(b.schema.get_field_index(c)) for c in ("row", "text", *SPANS))
+        for lo, hi, data, off in scan.slices(text):
+            n = hi - lo
+            own = _listed(spans.slice(lo, n))
+            every = [np.concatenate(x) for x in zip(own, _bytes_of(data, off, *_listed(coded.slice(lo, n)), words))] if words else own
+            every = merged(*every)
+            own = merged(*own) if apart else every
+            rest, at = _cut(data, off, *own)
+            raw, null = rest.tobytes(), np.array(text.slice(lo, n).is_null())
+            kept = _texts(rest, at, null)
             yield pa.RecordBatch.from_arrays(
-                [row, *(pa.array(v, pa.int64() if kind == "long" else pa.string()) for v, kind in zip(out, RESULTS.values()))],
+                [row.slice(lo, n), pa.array(np.diff(off)), pa.array(np.diff(off) - np.diff(at)),
+                 pa.array(np.bincount(own[0], minlength=n).astype(np.int64)),
+                 pa.array([hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(at[:-1].tolist(), at[1:].tolist())], pa.string()),
+                 kept, _texts(*_cut(data, off, *every), null) if apart and words else kept],
                 ["row", *RESULTS])
 
 
